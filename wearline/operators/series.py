@@ -66,8 +66,9 @@ def series_windows(
 
     ``columns`` maps a name to a function of the ordered window; its frame must
     reach back at most ``reach`` rows and not forward. Readings with the same
-    cycle are ordered by their other columns, so the result does not depend on
-    how rows happen to be laid out.
+    cycle have no order of their own. They are ordered by content (in crowded
+    cycles by a hash of it first), never by how rows happen to be laid out, so
+    a lost and recomputed partition gives the same result.
     """
     if shape is None:
         shape = measure_series(df, span)
@@ -152,7 +153,7 @@ def _crowded(
     full = full.select(*place)
     calm = blocked.join(full, place, "left_anti").withColumns(
         {
-            "__cell": F.lit(-1),
+            "__cell": F.lit(None).cast("int"),
             "__salt": F.lit(0).cast("long"),
             "__copy": F.lit(1).cast("long"),
             "__weight": F.lit(1).cast("long"),
@@ -189,7 +190,7 @@ def _crowded(
         order=["cycle", "__salt", *others, "__copy"],
         columns=columns,
         reach=reach,
-        starts_series=(F.col("__block") == 0) & (F.col("__cell") == -1),
+        starts_series=(F.col("__block") == 0) & F.col("__cell").isNull(),
         has_borders=F.lit(True),
     ).drop("__block", "__cell", "__salt", "__copy")
 

@@ -97,7 +97,9 @@ def _features(rul: str, digits: int | None = 6) -> str:
         "s02_delta": _delta("sensor_02"),
         "s04_delta": _delta("sensor_04"),
     }
-    shown = ", ".join(f"{_rounded(e, digits)} AS {n}" for n, e in derived.items())
+    shown = ", ".join(
+        f"{e if digits is None else _rounded(e, digits)} AS {n}" for n, e in derived.items()
+    )
     return f"""
 features AS MATERIALIZED (
   SELECT {_KEY}, cycle, {rul} AS rul, cycle_pct, op_setting_1, op_setting_2,
@@ -200,7 +202,7 @@ def _scaler(by: str, source: str = "train") -> str:
     return " UNION ALL ".join(parts)
 
 
-_STUDY = f"""{_silver()},{_features('least(rul, 125)')},{_SPLIT},
+_STUDY = f"""{_silver()},{_features('least(rul, 125)', None)},{_SPLIT},
 model_rows AS MATERIALIZED (
   SELECT f.*, {_CONDITION} AS op_cond, s.is_train
   FROM features f JOIN split s USING ({_KEY}) WHERE {_COMPLETE}
@@ -214,7 +216,9 @@ spare AS MATERIALIZED (
   FROM by_condition GROUP BY dataset_id, feature
 )"""
 
-_MODEL = f"{_KEY}, cycle, rul, op_cond, {', '.join(S.FEATURES)}"
+_MODEL = f"{_KEY}, cycle, rul, op_cond, " + ", ".join(
+    f"{_rounded(f, 6)} AS {f}" for f in S.FEATURES
+)
 
 
 def _scaled(condition: bool) -> str:

@@ -44,7 +44,7 @@ def tables(spark: SparkSession, sf_dir: str) -> Medallion:
     return layers_of(spark, path, lambda: events_as_readings(spark, path))
 
 
-def study(spark: SparkSession, sf_dir: str, digits=(ROW, ROW, ROW)) -> Study:
+def study(spark: SparkSession, sf_dir: str, digits=None) -> Study:
     key = (spark.sparkContext.applicationId, sf_dir, digits)
     if key not in _studies:
         _studies[key] = Study(tables(spark, sf_dir), digits=digits)
@@ -336,7 +336,7 @@ def engine_split_ranges(spark, sf_dir):
 
 
 def _model_columns(df: DataFrame) -> DataFrame:
-    return df.select(*S.KEY, "cycle", "rul", "op_cond", *S.FEATURES)
+    return _round(df.select(*S.KEY, "cycle", "rul", "op_cond", *S.FEATURES), ROW, *S.FEATURES)
 
 
 def train_rows(spark, sf_dir):
@@ -377,11 +377,11 @@ def unseen_conditions(spark, sf_dir):
 
 
 def scaled_features(spark, sf_dir):
-    return _round(_model_columns(study(spark, sf_dir).scaled), ROW, *S.FEATURES)
+    return _model_columns(study(spark, sf_dir).scaled)
 
 
 def scaled_features_global(spark, sf_dir):
-    return _round(_model_columns(study(spark, sf_dir).scaled_globally), ROW, *S.FEATURES)
+    return _model_columns(study(spark, sf_dir).scaled_globally)
 
 
 # --- model ------------------------------------------------------------------

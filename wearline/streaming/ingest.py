@@ -47,10 +47,10 @@ def good_lines(feed: DataFrame) -> DataFrame:
 
 
 def corrupt_lines(feed: DataFrame) -> DataFrame:
-    """Text of the lines that could not be parsed."""
+    """Text of the lines that could not be parsed, with the dataset if it was readable."""
     return with_load_time(
         feed.filter(F.col(CORRUPT).isNotNull()).select("dataset_id", CORRUPT)
-    ).drop("dataset_id")
+    )
 
 
 def _start(df: DataFrame, out: str, checkpoint: str, trigger: dict[str, Any]) -> StreamingQuery:
