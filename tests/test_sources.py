@@ -120,8 +120,9 @@ def test_numbering_equals_one_window(spark):
         F.col("id").alias("event_id"),
     )
     whole = F.row_number().over(Window.partitionBy(*S.KEY).orderBy("ts", "event_id"))
-    numbered = events.number_readings(df, period="hour")
-    expected = df.withColumn("cycle", whole)
-    assert set(numbered.select("event_id", "cycle").collect()) == set(
-        expected.select("event_id", "cycle").collect()
-    )
+    expected = set(df.withColumn("cycle", whole).select("event_id", "cycle").collect())
+    periods = {1000: (None,), 160: ("day",), 30: ("hour",), 1: ("minute", "second")}
+    for limit, period in periods.items():
+        assert events.finest_period(df, "ts", limit) in period
+        numbered = events.number_readings(df, limit=limit)
+        assert set(numbered.select("event_id", "cycle").collect()) == expected

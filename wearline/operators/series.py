@@ -111,7 +111,9 @@ def _by_levels(
     every open row, so the same window over them alone gives the same value.
     """
     finished = []
-    left = rows
+    # Said explicitly: input that already lies by series (after a join on the
+    # key, say) would satisfy the window and keep a long series in one task.
+    left = rows.repartition(*KEY, *levels[0])
     for depth, level in enumerate(levels):
         window = Window.partitionBy(*KEY, *level).orderBy(*order)
         values = {name: make(window) for name, make in columns.items()}
@@ -128,7 +130,7 @@ def _by_levels(
             .drop("__place")
         )
         if depth == 0:
-            left = left.filter(has_borders)
+            left = rows.filter(has_borders).repartition(*KEY, *level)
         everything = window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         left = (
             left.withColumns({"__place": place, "__size": F.count(F.lit(1)).over(everything)})

@@ -14,6 +14,7 @@ from wearline import schema as S
 from wearline.operators import model, scaling, split
 from wearline.plans.medallion import Medallion
 from wearline.plans.workspace import new_folder, settle
+from wearline.sources import layers
 
 
 class Study:
@@ -45,12 +46,24 @@ class Study:
     def cuts(self) -> DataFrame:
         return settle(split.split_cuts(self.tables.valid, self.fraction), "cuts")
 
-    @property
+    def _stored(self, rows: DataFrame, name: str) -> DataFrame:
+        """A row table written by dataset, so that later readers prune to their own part."""
+        path = new_folder(self.tables.spark, name)
+        layers.overwrite_layer(rows, path)
+        return layers.read_layer(self.tables.spark, path, rows.schema)
+
+    @cached_property
     def feature_rows(self) -> DataFrame:
-        """Complete feature rows of all datasets with condition and split."""
+        """Complete feature rows of all datasets with condition and split.
+
+        Written once: the scalers, the scaled rows and the reports all read it,
+        and none of them repeats the windows. Rows lie in engine order, so
+        ``is_train`` is clustered too and a filter on it skips row groups.
+        """
         table = self.tables.ml_features(digits=self.digits, rul_cap=self.rul_cap)
         rows = scaling.complete_rows(table, self.features)
-        return split.mark_split(scaling.with_op_condition(rows), self.cuts)
+        marked = split.mark_split(scaling.with_op_condition(rows), self.cuts)
+        return self._stored(marked, "features")
 
     @property
     def train(self) -> DataFrame:
@@ -88,10 +101,8 @@ class Study:
 
     @cached_property
     def scaled_table(self) -> DataFrame:
-        """Scaled rows as a table partitioned by dataset: each fit scans only its own."""
-        path = new_folder(self.tables.spark, "scaled")
-        self.scaled.write.partitionBy("dataset_id").parquet(path)
-        return self.tables.spark.read.schema(self.scaled.schema).parquet(path)
+        """Scaled rows as a table: each fit scans only its own dataset."""
+        return self._stored(self.scaled, "scaled")
 
     @cached_property
     def datasets(self) -> list[str]:

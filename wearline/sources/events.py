@@ -10,26 +10,55 @@ from pyspark.sql import functions as F
 from wearline.schema import BRONZE_SCHEMA, KEY, SENSORS
 
 
+PERIODS = ("day", "hour", "minute", "second")
+LIMIT = 1_000_000
+
+
+def _with_period(df: DataFrame, time: str, period: str) -> DataFrame:
+    return df.withColumn("__period", F.date_trunc(period, F.col(time)))
+
+
+def finest_period(df: DataFrame, time: str = "ts", limit: int = LIMIT) -> str | None:
+    """The coarsest period in which no series has more than ``limit`` rows.
+
+    None if whole series are that small. Each try is one aggregate over the key
+    columns and brings one number to the driver; ordinary feeds need one try.
+    """
+    for period in (None, *PERIODS):
+        placed = df if period is None else _with_period(df, time, period)
+        place = KEY if period is None else (*KEY, "__period")
+        rows = placed.groupBy(*place).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+        if (rows or 0) <= limit:
+            return period
+    return PERIODS[-1]
+
+
 def number_readings(
-    df: DataFrame, order: Sequence[str] = ("ts", "event_id"), period: str = "hour"
+    df: DataFrame, order: Sequence[str] = ("ts", "event_id"), limit: int = LIMIT
 ) -> DataFrame:
     """Number the rows of each series 1, 2, ... in time order, as ``cycle``.
 
-    Rows are ranked inside (series, period) and shifted by the number of rows
-    in earlier periods, known from a small count table. So a long series is
-    spread over as many tasks as it has periods.
+    Small series are ranked by one window. Otherwise rows are ranked inside
+    (series, period) and shifted by the number of rows in earlier periods,
+    known from a count table, which spreads a long series over many tasks.
     """
+    period = finest_period(df, order[0], limit)
+    if period is None:
+        rank = F.row_number().over(Window.partitionBy(*KEY).orderBy(*order))
+        return df.withColumn("cycle", rank)
     place = [*KEY, "__period"]
-    placed = df.withColumn("__period", F.date_trunc(period, F.col(order[0])))
-    counts = placed.groupBy(*place).agg(F.count(F.lit(1)).alias("__n"))
+    placed = _with_period(df, order[0], period)
     earlier = (
         Window.partitionBy(*KEY)
         .orderBy("__period")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    offsets = counts.withColumn(
-        "__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0))
-    ).drop("__n")
+    offsets = (
+        placed.groupBy(*place)
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .withColumn("__before", F.coalesce(F.sum("__n").over(earlier), F.lit(0)))
+        .drop("__n")
+    )
     rank = F.row_number().over(Window.partitionBy(*place).orderBy(*order))
     return (
         placed.withColumn("__rank", rank)
