@@ -47,6 +47,17 @@ def test_fixed_split_leaves_others_out(spark):
     ]
 
 
+def test_rows_of_listed_engines(spark):
+    """Membership by list gives what the marked split gives."""
+    df = engines(spark, [1, 1, 2, 3, 4, 5]).unionByName(engines(spark, [1, 9], "FD002"))
+    train = split.engine_split(df).filter("is_train")
+    marked = split.mark_split(df, split.split_cuts(df)).filter("is_train")
+    listed = split.rows_of(df, train)
+    assert sorted(map(tuple, listed.collect())) == sorted(
+        (r["dataset_id"], r["engine_id"]) for r in marked.collect()
+    )
+
+
 def frame(spark, rows):
     return spark.createDataFrame(rows, "dataset_id string, op_cond string, f double")
 

@@ -97,6 +97,22 @@ def test_missing_id_is_kept_and_flagged(feed):
     assert statuses == {1: "invalid_null", 2: "valid"}
 
 
+def test_status_is_also_available_on_the_stream(feed):
+    feed.drop("a.json", line(1, 1), line(1, 2, sensor_04=0.0), line(None, 3))
+    stream = validate(ingest.good_lines(ingest.read_stream(feed.spark, feed.landing)))
+    query = (
+        stream.writeStream.format("parquet")
+        .option("checkpointLocation", f"{feed.folder}/state-v")
+        .trigger(**QUICK)
+        .start(f"{feed.folder}/checked")
+    )
+    assert query.awaitTermination(120)
+    checked = layers.read_layer(feed.spark, f"{feed.folder}/checked").collect()
+    assert {r["cycle"]: r["status"] for r in checked} == {
+        1: "valid", 2: "invalid_sensor_range", 3: "invalid_null",
+    }
+
+
 def test_types_times_and_log(feed):
     feed.drop("a.json", line(1, 1, sensor_03=7), line(None, 2))
     feed.drop("b.json", line(1, 3))

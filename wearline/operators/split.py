@@ -71,6 +71,11 @@ def engine_split(df: DataFrame, cuts: DataFrame | None = None, fraction: float =
     return mark_split(engines, cuts).select(*S.KEY, "is_train")
 
 
+def rows_of(df: DataFrame, engines: DataFrame) -> DataFrame:
+    """Rows of the listed series. Any table with the key columns serves as the list."""
+    return df.join(engines.select(*S.KEY), list(S.KEY), "left_semi")
+
+
 def mark_split_fixed(
     df: DataFrame, train: tuple[int, int] = (1, 80), test: tuple[int, int] = (81, 100)
 ) -> DataFrame:
