@@ -125,8 +125,20 @@ def test_views(spark, tables):
 
 
 def test_gold_is_written(spark, tables, folder):
+    """Written tables share one pass and equal the single ones."""
     root = tables.write_gold(f"{folder}/gold")
-    assert spark.read.parquet(f"{root}/anomaly_scores").count() == tables.valid.count()
+    for name, table in tables.gold_tables().items():
+        written = spark.read.schema(table.schema).parquet(f"{root}/{name}").select(table.columns)
+        assert written.exceptAll(table).isEmpty() and table.exceptAll(written).isEmpty(), name
+
+
+def test_row_frame_tables_share_one_window(tables):
+    from wearline.operators import anomaly, gold
+    from wearline.operators.series import frames_of
+
+    specs = [gold.rolling_table(), gold.feature_table(), anomaly.score_table()]
+    plan = physical(frames_of(tables.valid, specs, tables.shape))
+    assert plan.count("Exchange ") == 1 and len(re.findall(r"\bWindow \[", plan)) == 1
 
 
 def test_settled_table_is_broadcast_by_size(spark, tables):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from wearline import schema as S
 from wearline.functions import expressions as X
 from wearline.operators.gold import trailing
-from wearline.operators.series import SPAN, SeriesShape, series_windows
+from wearline.operators.series import SPAN, FrameTable, SeriesShape, frame_table
 
 SCORED_SENSORS = ("sensor_02", "sensor_11")
 
@@ -21,14 +21,9 @@ def score_columns(sensor: str) -> list[str]:
     return [sensor, *(f"{name}_{part}" for part in ("rolling_mean", "rolling_std", "zscore", "anomaly"))]
 
 
-def rolling_zscore(
-    df: DataFrame,
-    sensors: Sequence[str] = SCORED_SENSORS,
-    window: int = 20,
-    threshold: float = 2.0,
-    shape: SeriesShape | None = None,
-    span: int = SPAN,
-) -> DataFrame:
+def score_table(
+    sensors: Sequence[str] = SCORED_SENSORS, window: int = 20, threshold: float = 2.0
+) -> FrameTable:
     """Score each reading against the mean and deviation of its trailing window.
 
     The window holds the reading itself. A flat or single-reading window scores
@@ -40,16 +35,28 @@ def rolling_zscore(
         _, mean, deviation, _, _ = score_columns(sensor)
         columns[mean] = lambda w, s=sensor: F.avg(s).over(trailing(w, window))
         columns[deviation] = lambda w, s=sensor: F.stddev_samp(s).over(trailing(w, window))
-    narrow = df.select(*S.KEY, "cycle", "max_cycle", "rul", *sensors)
-    scored = series_windows(narrow, columns, window - 1, shape, span)
-    for sensor in sensors:
-        _, mean, deviation, zscore, anomaly = score_columns(sensor)
-        distance = F.try_divide(F.col(sensor) - F.col(mean), F.col(deviation))
-        scored = scored.withColumn(
-            zscore, F.when(F.col(deviation) > 0, distance).otherwise(0.0)
-        ).withColumn(anomaly, F.abs(F.col(zscore)) > threshold)
-    order = [c for sensor in sensors for c in score_columns(sensor)]
-    return scored.select(*S.KEY, "cycle", "rul", *order)
+
+    def show(frames: DataFrame) -> DataFrame:
+        for sensor in sensors:
+            _, mean, deviation, zscore, anomaly = score_columns(sensor)
+            distance = F.try_divide(F.col(sensor) - F.col(mean), F.col(deviation))
+            frames = frames.withColumn(
+                zscore, F.when(F.col(deviation) > 0, distance).otherwise(0.0)
+            ).withColumn(anomaly, F.abs(F.col(zscore)) > threshold)
+        order = [c for sensor in sensors for c in score_columns(sensor)]
+        return frames.select(*S.KEY, "cycle", "rul", *order)
+
+    return FrameTable(("rul", *sensors), columns, window - 1, show)
+
+
+def rolling_zscore(
+    df: DataFrame,
+    sensors: Sequence[str] = SCORED_SENSORS,
+    shape: SeriesShape | None = None,
+    span: int = SPAN,
+    **options,
+) -> DataFrame:
+    return frame_table(df, score_table(sensors, **options), shape, span)
 
 
 def anomaly_summary(

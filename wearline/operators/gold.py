@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wearline import schema as S
 from wearline.functions import expressions as X
-from wearline.operators.series import SPAN, SeriesShape, series_windows
+from wearline.operators.series import SPAN, FrameTable, SeriesShape, frame_table
 
 DRIFT_SENSORS = ("sensor_02", "sensor_04", "sensor_11")
 
@@ -31,24 +31,28 @@ def _change(sensor: str):
     return lambda window: F.col(sensor) - F.lag(sensor, 1).over(window)
 
 
-def rolling_averages(
-    df: DataFrame,
+def rolling_table(
     windows: Mapping[str, Sequence[int]] | None = None,
     digits: int | None = 3,
     sensors: Sequence[str] = DRIFT_SENSORS,
-    shape: SeriesShape | None = None,
-    span: int = SPAN,
-) -> DataFrame:
+) -> FrameTable:
     """Rolling means per series, named ``<sensor>_avg_<rows>``."""
     windows = windows or {"sensor_02": (10, 30), "sensor_04": (10,)}
+    shown = tuple(dict.fromkeys((*sensors, *windows)))
     columns = {f"{s}_avg_{n}": _mean(s, n) for s, sizes in windows.items() for n in sizes}
-    shown = list(dict.fromkeys((*sensors, *windows)))
-    reach = max(n for sizes in windows.values() for n in sizes) - 1
-    narrow = df.select(*S.KEY, "cycle", "max_cycle", *shown)
-    rolled = series_windows(narrow, columns, reach, shape, span)
-    return rolled.select(
-        *S.KEY, "cycle", *shown, *(X.rounded(F.col(c), digits).alias(c) for c in columns)
-    )
+
+    def show(frames: DataFrame) -> DataFrame:
+        means = (X.rounded(F.col(c), digits).alias(c) for c in columns)
+        return frames.select(*S.KEY, "cycle", *shown, *means)
+
+    longest = max(n for sizes in windows.values() for n in sizes)
+    return FrameTable(shown, columns, longest - 1, show)
+
+
+def rolling_averages(
+    df: DataFrame, shape: SeriesShape | None = None, span: int = SPAN, **options
+) -> DataFrame:
+    return frame_table(df, rolling_table(**options), shape, span)
 
 
 def engine_health(
@@ -68,15 +72,12 @@ def engine_health(
     )
 
 
-def ml_features(
-    df: DataFrame,
+def feature_table(
     window: int = 10,
     digits: tuple[int, int, int] | None = None,
     rul_cap: int | None = None,
-    shape: SeriesShape | None = None,
-    span: int = SPAN,
-) -> DataFrame:
-    """Feature table of all datasets in one pass.
+) -> FrameTable:
+    """Features for models of remaining life.
 
     ``digits`` rounds (mean, deviation, delta); see ``FEATURE_DIGITS``.
     The first reading of a series has no deviation and no deltas (NULL).
@@ -88,17 +89,26 @@ def ml_features(
         "s02_delta": (_change("sensor_02"), delta_d),
         "s04_delta": (_change("sensor_04"), delta_d),
     }
-    carried = ["cycle_pct", "op_setting_1", "op_setting_2", *DRIFT_SENSORS]
-    narrow = df.select(*S.KEY, "cycle", "max_cycle", "rul", *carried)
+    carried = ("cycle_pct", "op_setting_1", "op_setting_2", *DRIFT_SENSORS)
+
+    def show(frames: DataFrame) -> DataFrame:
+        return frames.select(
+            *S.KEY,
+            "cycle",
+            X.capped(F.col("rul"), rul_cap).alias("rul"),
+            *carried,
+            *(X.rounded(F.col(name), d).alias(name) for name, (_, d) in derived.items()),
+        )
+
     columns = {name: make for name, (make, _) in derived.items()}
-    rolled = series_windows(narrow, columns, max(window - 1, 1), shape, span)
-    return rolled.select(
-        *S.KEY,
-        "cycle",
-        X.capped(F.col("rul"), rul_cap).alias("rul"),
-        *carried,
-        *(X.rounded(F.col(name), d).alias(name) for name, (_, d) in derived.items()),
-    )
+    return FrameTable(("rul", *carried), columns, max(window - 1, 1), show)
+
+
+def ml_features(
+    df: DataFrame, shape: SeriesShape | None = None, span: int = SPAN, **options
+) -> DataFrame:
+    """Feature table of all datasets in one pass."""
+    return frame_table(df, feature_table(**options), shape, span)
 
 
 def _early(span: int) -> Column:

@@ -20,7 +20,7 @@ of ``2 * reach`` rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -41,6 +41,16 @@ class SeriesShape:
     fullest_block: int
 
 
+@dataclass(frozen=True)
+class FrameTable:
+    """A table made of row frames: what it reads, computes and shows."""
+
+    reads: tuple[str, ...]
+    columns: WindowColumns
+    reach: int
+    show: Callable[[DataFrame], DataFrame]
+
+
 def _block(span: int) -> Column:
     return F.expr(f"cast(greatest(cycle, 0) div {span} as int)")
 
@@ -93,6 +103,26 @@ def series_windows(
     return done.drop("__block")
 
 
+def frames_of(
+    df: DataFrame,
+    tables: Iterable[FrameTable],
+    shape: SeriesShape | None = None,
+    span: int = SPAN,
+) -> DataFrame:
+    """The columns of several tables in one pass: one exchange, one sort, one window."""
+    tables = list(tables)
+    reads = dict.fromkeys(c for t in tables for c in t.reads)
+    columns = {name: make for t in tables for name, make in t.columns.items()}
+    narrow = df.select(*KEY, "cycle", "max_cycle", *reads)
+    return series_windows(narrow, columns, max(t.reach for t in tables), shape, span)
+
+
+def frame_table(
+    df: DataFrame, table: FrameTable, shape: SeriesShape | None = None, span: int = SPAN
+) -> DataFrame:
+    return table.show(frames_of(df, [table], shape, span))
+
+
 def _by_levels(
     rows: DataFrame,
     levels: Sequence[tuple[str, ...]],

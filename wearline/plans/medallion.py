@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from wearline import schema as S
 from wearline.operators import anomaly, gold, lifetime, validation
-from wearline.operators.series import SPAN, SeriesShape, measure_series
+from wearline.operators.series import SPAN, SeriesShape, frames_of, measure_series
 from wearline.plans.workspace import new_folder
 from wearline.sources import layers
 from wearline.sources.text import with_load_time
@@ -84,9 +84,23 @@ class Medallion:
         }
 
     def write_gold(self, root: str | None = None) -> str:
-        """Write every Gold table; each is computed once, by its own write."""
+        """Write every Gold table.
+
+        The three row-frame tables share one pass over Silver: their columns
+        are written once and each table is a projection of that, so Silver is
+        shuffled and sorted one time and not three.
+        """
         root = root or f"{self.root}/gold"
-        for name, table in self.gold_tables().items():
+        shared = {
+            "rolling_averages": gold.rolling_table(),
+            "ml_features": gold.feature_table(digits=S.FEATURE_DIGITS["gold"]),
+            "anomaly_scores": anomaly.score_table(),
+        }
+        frames = frames_of(self.valid, shared.values(), **self._frames())
+        layers.overwrite_layer(frames, f"{root}/frames")
+        stored = layers.read_layer(self.spark, f"{root}/frames", frames.schema)
+        tables = self.gold_tables() | {n: table.show(stored) for n, table in shared.items()}
+        for name, table in tables.items():
             layers.overwrite_layer(table, f"{root}/{name}")
         return root
 
