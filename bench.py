@@ -17,7 +17,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from wearline.plans import queries as registered  # noqa: E402
-from wearline.plans.workspace import session  # noqa: E402
+from wearline.workspace import session  # noqa: E402
 
 # Forests are timed once: the fitted models are kept for later queries.
 ONCE = ("rul_results",)

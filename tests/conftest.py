@@ -9,7 +9,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import functions as F  # noqa: E402
 
 from wearline import schema as S  # noqa: E402
-from wearline.plans.workspace import session  # noqa: E402
+from wearline.workspace import session  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -62,7 +62,7 @@ def differences(df, con, sql) -> str:
 
 
 def main(sf_dir: str, wanted: list[str]) -> int:
-    from wearline.plans.workspace import session
+    from wearline.workspace import session
 
     spark = session("local[8]")
     spark.sparkContext.setLogLevel("ERROR")

@@ -11,7 +11,7 @@ from wearline import schema as S
 from wearline.plans import queries as Q
 from wearline.plans.medallion import build_layers, open_layers, register_views
 from wearline.plans.study import Study
-from wearline.plans.workspace import settle, shared_folder
+from wearline.workspace import settle, shared_folder
 
 SMALL = "/root/testdata/sf0.001"
 

@@ -8,7 +8,7 @@ from wearline.operators import gold, lifetime, scaling
 from wearline.operators.series import measure_series
 from wearline.operators.validation import valid_rows
 from wearline.plans.medallion import build_silver
-from wearline.plans.workspace import settle
+from wearline.workspace import settle
 
 
 @pytest.fixture
@@ -83,3 +83,22 @@ def test_hot_engine_is_spread_over_window_tasks(spark, skewed, large_data):
     assert max(r["n"] for r in spread) < 10_000
     plain = gold.rolling_averages(valid, digits=None)
     assert rolled.exceptAll(plain).isEmpty() and plain.exceptAll(rolled).isEmpty()
+
+
+def test_copies_of_one_reading_are_spread(spark, skewed, large_data):
+    """20,000 copies of one reading: no task holds more than a few pieces of them."""
+    valid = valid_rows(build_silver(skewed)).filter("engine_id = 2").orderBy("cycle").limit(300)
+    some = settle(valid, "some")
+    copies = settle(some.limit(1).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(20_000)))), "copies")
+    table = some.unionByName(copies.drop("n"))
+    rolled = settle(
+        gold.rolling_averages(table, digits=None, span=500).withColumn(
+            "task", F.spark_partition_id()
+        ),
+        "rolled",
+    )
+    assert rolled.count() == table.count() > 20_000
+    assert rolled.groupBy("task").count().agg(F.max("count")).first()[0] < 6_000
+    plain = gold.rolling_averages(table, digits=None)
+    rolled = rolled.drop("task")
+    assert rolled.exceptAll(plain).isEmpty() and plain.exceptAll(rolled).isEmpty()

@@ -22,7 +22,7 @@ def engine_lifetimes(df: DataFrame) -> DataFrame:
 def add_lifetime(df: DataFrame, lifetimes: DataFrame | None = None) -> DataFrame:
     """Add ``max_cycle``, ``cycle_pct`` and ``rul`` to every reading.
 
-    Pass ``lifetimes`` as a written table (see ``plans.workspace.settle``): Spark
+    Pass ``lifetimes`` as a written table (see ``workspace.settle``): Spark
     then knows its size, broadcasts it below the session's broadcast limit
     (no shuffle of the readings at all) and sort-merges beyond it, where
     adaptive execution splits hot series. Keys compare null-safe, so readings

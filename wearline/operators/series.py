@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from wearline.schema import KEY
+from wearline.workspace import settle
 
 SPAN = 65_536
 WindowColumns = Mapping[str, Callable[[WindowSpec], Column]]
@@ -177,12 +178,14 @@ def _crowded(
     """The plan for tables with repeated cycles (see the module text).
 
     Copies beyond ``reach + 1`` see a frame of nothing but copies. One row
-    stands for all of them and carries their number in ``__weight``.
+    stands for all of them and carries their number in ``__weight``. The lookup
+    tables are written, so their size is known where they are joined, and a
+    crowded block or cycle is split by adaptive execution where they are large.
     """
     blocked = df.withColumn("__block", _block(span))
     place = [*KEY, "__block"]
     full = blocked.groupBy(*place).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > span)
-    full = full.select(*place)
+    full = settle(full.select(*place), "crowded-blocks")
     calm = blocked.join(full, place, "left_anti").withColumns(
         {
             "__cell": F.lit(None).cast("int"),
@@ -192,13 +195,17 @@ def _crowded(
         }
     )
 
-    distinct = (
+    distinct = settle(
         blocked.join(full, place, "left_semi")
         .groupBy(*df.columns, "__block")
-        .agg(F.count(F.lit(1)).alias("__copies"))
+        .agg(F.count(F.lit(1)).alias("__copies")),
+        "crowded-rows",
     )
-    cells = distinct.groupBy(*KEY, "cycle").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(span)).alias("__salts")
+    cells = settle(
+        distinct.groupBy(*KEY, "cycle").agg(
+            F.ceil(F.count(F.lit(1)) / F.lit(span)).alias("__salts")
+        ),
+        "crowded-cycles",
     )
     most = reach + 2
     crowd = (

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from wearline import schema as S
 from wearline.operators import anomaly, gold, lifetime, validation
 from wearline.operators.series import SPAN, SeriesShape, frames_of, measure_series
-from wearline.plans.workspace import new_folder
+from wearline.workspace import new_folder
 from wearline.sources import layers
 from wearline.sources.text import with_load_time
 

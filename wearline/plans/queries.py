@@ -27,7 +27,7 @@ from wearline.operators import (
 )
 from wearline.plans.medallion import Medallion, layers_of, model_views
 from wearline.plans.study import Study
-from wearline.plans.workspace import new_folder
+from wearline.workspace import new_folder
 from wearline.sources import layers, text
 from wearline.sources.events import events_as_readings
 from wearline.streaming import ingest

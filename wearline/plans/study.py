@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from wearline import schema as S
 from wearline.operators import model, scaling, split
 from wearline.plans.medallion import Medallion
-from wearline.plans.workspace import new_folder, settle
+from wearline.workspace import new_folder, settle
 from wearline.sources import layers
 
 
