@@ -1,10 +1,11 @@
 """Time the registered queries; prints one JSON line.
 
 ``BENCH_SF_DIR`` names the data folder, ``BENCH_CPUS`` the local cores and
-``BENCH_QUERIES`` (optional, comma-separated) the queries. The layers are built
-first and timed as ``build_layers``; every query then runs whole, to a sink
-that takes all its rows. Each query runs ``BENCH_RUNS`` times and the fastest
-run counts, so that compilation of the first one does not.
+``BENCH_QUERIES`` (optional, comma-separated) the queries. The tables that
+queries share are built first and timed as ``build_layers`` (Bronze, Silver)
+and ``build_study`` (features, split, scalers); every query then runs whole, to
+a sink that takes all its rows. Each query runs ``BENCH_RUNS`` times and the
+fastest run counts, so that compilation of the first one does not.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ HEADLINE = (
     "scan_readings", "silver_status_full", "silver_derived", "rows_by_status",
     "rolling_averages", "engine_health", "ml_features", "sensor_drift", "sensor_drift_join",
     "anomaly_scores", "anomaly_summary", "anomaly_by_life_stage", "top_anomalous_engines",
-    "engine_split", "scaler_per_condition", "scaled_features", "regression_metrics",
+    "gold_write", "engine_split", "scaled_features", "regression_metrics",
     "quality_report", "stream_ingest", "rul_results",
 )
 
@@ -43,7 +44,7 @@ def timed(run) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     chosen = os.environ.get("BENCH_QUERIES", "")
     names = chosen.split(",") if chosen else HEADLINE
     spark = session(f"local[{cpus}]", "wearline-bench", **{"spark.sql.shuffle.partitions": cpus})
@@ -51,6 +52,8 @@ def main() -> None:
     queries = registered.all_queries()
 
     seconds = {"build_layers": timed(lambda: registered.tables(spark, sf_dir))}
+    study = registered.study(spark, sf_dir)
+    seconds["build_study"] = timed(lambda: (study.cuts, study.feature_rows, study.fallback))
     for name in names:
         repeats = 1 if name in ONCE else runs
         seconds[name] = min(

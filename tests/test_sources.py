@@ -112,6 +112,13 @@ def test_union_by_name_with_stream_bronze(spark, make_readings):
     assert rows[1] is None and rows[9].hour == 10
 
 
+def test_stream_values_of_another_type_become_null(make_readings):
+    batch = text.with_load_time(make_readings([{}]))
+    stream = batch.withColumn("engine_id", F.lit("x"))
+    rows = layers.union_bronze(batch, stream).select("engine_id").collect()
+    assert sorted(str(r["engine_id"]) for r in rows) == ["1", "None"]
+
+
 def test_numbering_equals_one_window(spark):
     df = spark.range(400).select(
         F.lit("FD001").alias("dataset_id"),

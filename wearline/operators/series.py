@@ -97,8 +97,8 @@ def series_windows(
         columns=columns,
         reach=reach,
         starts_series=F.col("__block") == 0,
-        # Series that end inside the first block have no border to repair;
-        # the predicate on a stored column reaches the scan.
+        # Series that end inside the first block have no border to repair. The
+        # stored last cycle covers every reading, and the filter reaches the scan.
         has_borders=F.col("max_cycle") >= span if "max_cycle" in df.columns else F.lit(True),
     )
     return done.drop("__block")

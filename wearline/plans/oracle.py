@@ -306,8 +306,7 @@ def all_oracles() -> dict[str, str]:
     error = "(125.0::DOUBLE * (1 - cycle_pct) - rul)"
     bodies = {
         "scan_readings": whole,
-        "scan_glob": f"{bronze} SELECT {_KEY}, cycle, sensor_02 FROM bronze"
-        " WHERE dataset_id IN ('FD001', 'FD002')",
+        "scan_glob": f"{bronze} SELECT {_KEY}, cycle, sensor_02 FROM bronze",
         "dataset_from_filename": counted("bronze", "dataset_id", bronze),
         "scan_permissive": damaged("CASE WHEN cycle % 103 <> 0 THEN engine_id END", "true"),
         "scan_malformed": damaged("engine_id", "cycle % 103 <> 0 AND sensor_03 IS NOT NULL"),

@@ -85,7 +85,7 @@ def scan_readings(spark, sf_dir):
 
 
 def scan_glob(spark, sf_dir):
-    pattern = f"{_raw_files(spark, sf_dir)}/file=train_FD00[12].txt"
+    pattern = f"{_raw_files(spark, sf_dir)}/file=train_FD00[1-4].txt"
     return text.read_readings(spark, pattern).select(*S.KEY, "cycle", "sensor_02")
 
 
@@ -128,8 +128,8 @@ def bronze_append(spark, sf_dir):
     """Two loads appended to one Bronze table."""
     bronze = tables(spark, sf_dir).bronze
     path = new_folder(spark, "bronze")
-    odd = F.col("engine_id") % 2 == 1
-    for load in (bronze.filter(odd), bronze.filter(~odd)):
+    early = F.col("dataset_id") <= "FD002"
+    for load in (bronze.filter(early), bronze.filter(~early)):
         layers.append_bronze(load, path)
     return validation.rows_by(layers.read_layer(spark, path, S.BRONZE_SCHEMA), "dataset_id")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from wearline.schema import DATASET_FIELD, KEY
+from wearline.schema import BRONZE_SCHEMA, DATASET_FIELD, KEY, STREAM_SCHEMA
 
 
 def read_layer(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -14,17 +14,14 @@ def read_layer(spark: SparkSession, path: str, schema: T.StructType | None = Non
     return reader.parquet(path)
 
 
-def write_layer(df: DataFrame, path: str, mode: str, partitioned: bool = True) -> None:
+def write_layer(df: DataFrame, path: str, mode: str) -> None:
     """Write a layer without any shuffle.
 
     Each task sorts its own rows by series, which clusters row groups for later
     filters on engine, cycle or ``max_cycle``; there is no global sort.
     """
     order = [c for c in (*KEY, "cycle") if c in df.columns]
-    writer = df.sortWithinPartitions(*order).write.mode(mode)
-    if partitioned:
-        writer = writer.partitionBy(DATASET_FIELD.name)
-    writer.parquet(path)
+    df.sortWithinPartitions(*order).write.mode(mode).partitionBy(DATASET_FIELD.name).parquet(path)
 
 
 def append_bronze(df: DataFrame, path: str, mode: str = "append") -> None:
@@ -38,12 +35,13 @@ def overwrite_layer(df: DataFrame, path: str) -> None:
 
 
 def conform_bronze(df: DataFrame) -> DataFrame:
-    """Give a batch or stream Bronze table the common types; unknown columns pass through."""
-    from wearline.schema import BRONZE_SCHEMA, STREAM_SCHEMA
+    """Give a batch or stream Bronze table the common types; unknown columns pass through.
 
+    A value that does not fit its type becomes NULL, which Silver flags.
+    """
     declared = {f.name: f.dataType for f in (*BRONZE_SCHEMA.fields, *STREAM_SCHEMA.fields)}
     return df.select(
-        *(df[c].cast(declared[c]).alias(c) if c in declared else df[c] for c in df.columns)
+        *(df[c].try_cast(declared[c]).alias(c) if c in declared else df[c] for c in df.columns)
     )
 
 
