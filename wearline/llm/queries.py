@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearline.llm import bitpack
+from wearline.llm import bitpack, deobfuscate, pieces, tiling
 from wearline.workspace import new_folder
 
 
@@ -31,8 +31,39 @@ def op6_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_deobfuscated_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels outside the held-out fold."""
+    docs = _table(spark, sf_dir, "documents")
+    model = deobfuscate.fit(docs, _table(spark, sf_dir, "labels"))
+    return deobfuscate.score(docs, model)
+
+
+def op7_piece_viterbi(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document in pieces and back: counts, a checksum of the ids, and the comparison."""
+    found = pieces.round_trip(vocabulary_file("piece_bpe_32k.model"))
+    coded = _table(spark, sf_dir, "documents").select("doc_id", found.alias("p"))
+    return coded.select(
+        "doc_id",
+        "p.n_pieces",
+        "p.n_byte_pieces",
+        F.crc32("p.ids").alias("ids_crc32"),
+        "p.decoded_equal",
+    )
+
+
+def op8_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items that contaminate them, with the covered share."""
+    pairs = tiling.tiled_pairs(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return pairs.select(
+        "doc_id", "item_id", "item_tokens", "covered_tokens", "coverage", F.size("tiles").alias("n_tiles")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_deobfuscated_toxicity": op4_deobfuscated_toxicity,
     "op6_bit_packing": op6_bit_packing,
+    "op7_piece_viterbi": op7_piece_viterbi,
+    "op8_string_tiling": op8_string_tiling,
 }
 
 ORACLE_SQL: dict[str, str] = {}
