@@ -68,6 +68,8 @@ def pack(ids: np.ndarray, width: int) -> bytes:
 
 def unpack(data: bytes | memoryview, width: int, start: int, stop: int) -> np.ndarray:
     """Ids ``start`` to ``stop`` of a bit string that 8 more bytes follow."""
+    if width in (8, 16, 32):
+        return np.frombuffer(data, f"<u{width // 8}")[start:stop].astype(np.uint32)
     place = np.arange(start, stop, dtype=np.int64) * width
     if not place.size:
         return np.zeros(0, np.uint32)
@@ -102,7 +104,7 @@ def read_block(data: bytes) -> tuple[np.ndarray, np.ndarray, "functools.partial[
     at = HEADER.size
     doc_ids = np.frombuffer(data, "<i8", documents, at)
     offsets = np.frombuffer(data, "<u8", documents + 1, at + 8 * documents).astype(np.int64)
-    packed = memoryview(data)[at + 16 * documents + 8 :]
+    packed = memoryview(data)[at + 16 * documents + 8 :]  # with the zero bytes, for the last window
     return doc_ids, offsets, functools.partial(unpack, packed, width)
 
 
@@ -146,7 +148,7 @@ class Encoder:
     other text is encoded by the library as it is. ``tests/llm`` compares both.
     """
 
-    def __init__(self, path: str, remembered: int = 400_000):
+    def __init__(self, path: str, remembered: int = 500_000):
         import regex
         from tokenizers import Tokenizer
 
@@ -230,7 +232,8 @@ def blocks_of(spark: SparkSession, folder: str) -> DataFrame:
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     shards = blocks.groupBy("shard").agg(F.sum("n_ids").alias("__n"))
     shards = shards.select("shard", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
-    return blocks.join(shards, "shard").withColumn("start", F.col("__before") + F.col("first_id")).drop("__before")
+    # One row per task of the writing job, however long the texts are: small enough to send.
+    return blocks.join(F.broadcast(shards), "shard").withColumn("start", F.col("__before") + F.col("first_id")).drop("__before")
 
 
 def read_ids(spark: SparkSession, folder: str, doc_ids: Sequence[int] | None = None) -> DataFrame:
@@ -252,20 +255,23 @@ def read_ids(spark: SparkSession, folder: str, doc_ids: Sequence[int] | None = N
                 chosen = np.arange(len(ids))
                 if wanted is not None:
                     chosen = np.flatnonzero(np.isin(ids, wanted))
-                rows = [
-                    part(int(offsets[i]), int(offsets[i + 1])).astype("<u4").tobytes() for i in chosen
-                ]
+                if wanted is None:
+                    whole = memoryview(part(0, int(offsets[-1])).astype("<u4").tobytes())
+                    rows = [bytes(whole[4 * a : 4 * b]) for a, b in zip(offsets[:-1], offsets[1:])]
+                else:
+                    rows = [part(int(offsets[i]), int(offsets[i + 1])).astype("<u4").tobytes() for i in chosen]
                 yield pd.DataFrame(
                     {
-                        "doc_id": [None if ids[i] == NULL_ID else int(ids[i]) for i in chosen],
+                        "doc_id": pd.array(ids[chosen], "Int64"),
                         "start": start + offsets[chosen],
                         "n_tokens": offsets[chosen + 1] - offsets[chosen],
                         "ids": rows,
                     }
-                ).astype({"doc_id": "Int64"})
+                )
 
-    return blocks.select("start", "data").mapInPandas(
+    found = blocks.select("start", "data").mapInPandas(
         documents, "doc_id long, start long, n_tokens long, ids binary"
     )
+    return found.withColumn("doc_id", F.nullif("doc_id", F.lit(NULL_ID)))
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearline.llm import bitpack, deobfuscate, pieces, tiling
+from wearline.llm import bitpack, deobfuscate, multiset_hash, pieces, tiling
 from wearline.workspace import new_folder
 
 
@@ -59,11 +59,17 @@ def op8_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their edited texts, with likenesses."""
+    return multiset_hash.fingerprints(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_deobfuscated_toxicity": op4_deobfuscated_toxicity,
     "op6_bit_packing": op6_bit_packing,
     "op7_piece_viterbi": op7_piece_viterbi,
     "op8_string_tiling": op8_string_tiling,
+    "op10_multiset_fingerprint": op10_multiset_fingerprint,
 }
 
 ORACLE_SQL: dict[str, str] = {}
