@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearline.llm import bitpack, deobfuscate, multiset_hash, pieces, tiling
+from wearline.llm import bitpack, deobfuscate, multiset_hash, pieces, tiling, warc
 from wearline.workspace import new_folder
 
 
@@ -31,6 +31,27 @@ def op6_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op1_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages through WARC archives: written, read back, assembled to one row per capture."""
+    folder = new_folder(spark, "archives")
+    warc.write_archives(_table(spark, sf_dir, "pages"), folder)
+    captures = warc.assemble(warc.with_payload(warc.read_records(spark, folder)))
+
+    def page(identifier: str) -> Column:
+        number = F.regexp_extract(identifier, "^<urn:page:capture:(-?[0-9]*)-[0-9]+>$", 1)
+        return F.when(number != "", number).cast("long")
+
+    return captures.select(
+        page("capture_id").alias("page_id"),
+        F.col("response.payload_bytes").alias("payload_bytes"),
+        F.col("response.payload_digest").alias("payload_digest"),
+        F.col("response.record_type").alias("record_type"),
+        page("response.refers_to").alias("refers_to"),
+        F.size("requests").alias("n_requests"),
+        F.size("metadata").alias("n_metadata"),
+    )
+
+
 def op4_deobfuscated_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the labels outside the held-out fold."""
     docs = _table(spark, sf_dir, "documents")
@@ -65,6 +86,7 @@ def op10_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_transactions": op1_warc_transactions,
     "op4_deobfuscated_toxicity": op4_deobfuscated_toxicity,
     "op6_bit_packing": op6_bit_packing,
     "op7_piece_viterbi": op7_piece_viterbi,
