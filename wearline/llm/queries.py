@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearline.llm import bitpack, deobfuscate, multiset_hash, pieces, tiling, warc
+from wearline.llm import bitpack, deobfuscate, multiset_hash, pieces, preference, tiling, warc
 from wearline.workspace import new_folder
 
 
@@ -21,6 +21,26 @@ def vocabulary_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op5_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation against itself with its neighbour's last reply, as prompt and completions."""
+    sides = preference.replies_of_neighbours(_table(spark, sf_dir, "conversations"))
+    pairs = preference.format_pairs(*sides)
+
+    def trained(spans: str) -> Column:
+        sizes = F.transform(spans, lambda s: s["end"] - s["start"])
+        return F.aggregate(sizes, F.lit(0), lambda total, n: total + n).cast("long")
+
+    return pairs.select(
+        F.col("pair_id").alias("conv_id"),
+        "n_common",
+        "prompt",
+        "chosen",
+        "rejected",
+        trained("chosen_spans").alias("chosen_trained"),
+        trained("rejected_spans").alias("rejected_trained"),
+    )
+
+
 def op6_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Packed ids of all documents, read back from their blocks."""
     folder = new_folder(spark, "packed-ids")
@@ -88,10 +108,44 @@ def op10_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_transactions": op1_warc_transactions,
     "op4_deobfuscated_toxicity": op4_deobfuscated_toxicity,
+    "op5_preference_pairs": op5_preference_pairs,
     "op6_bit_packing": op6_bit_packing,
     "op7_piece_viterbi": op7_piece_viterbi,
     "op8_string_tiling": op8_string_tiling,
     "op10_multiset_fingerprint": op10_multiset_fingerprint,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_OP5_SQL = """
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text FROM conversations
+),
+last_turns AS (
+  SELECT conv_id, max(turn) AS last_turn FROM turns WHERE role = 'assistant' GROUP BY conv_id
+),
+replies AS (
+  SELECT t.conv_id, l.last_turn, max(t.text) AS reply
+  FROM turns t JOIN last_turns l ON t.conv_id = l.conv_id AND t.turn = l.last_turn
+  WHERE t.role = 'assistant' GROUP BY t.conv_id, l.last_turn
+),
+answers AS (
+  SELECT r.conv_id, r.last_turn, r.reply, coalesce(n.reply, '') AS other
+  FROM replies r LEFT JOIN replies n ON n.conv_id = r.conv_id + 1
+),
+marked AS (
+  SELECT t.conv_id, t.turn, '<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10) AS shown,
+    a.other,
+    coalesce(t.turn = a.last_turn AND t.role = 'assistant' AND t.text = a.reply AND a.reply <> a.other, false) AS differs
+  FROM turns t LEFT JOIN answers a ON t.conv_id = a.conv_id
+  WHERE a.last_turn IS NULL OR t.turn <= a.last_turn
+)
+SELECT conv_id,
+  count(*) FILTER (WHERE NOT differs)::INTEGER AS n_common,
+  coalesce(string_agg(shown, '' ORDER BY turn) FILTER (WHERE NOT differs), '') AS prompt,
+  coalesce(max(shown) FILTER (WHERE differs), '') AS chosen,
+  coalesce(max('<|assistant|>' || chr(10) || other || '<|end|>' || chr(10)) FILTER (WHERE differs), '') AS rejected,
+  coalesce(max(length(shown) - 14) FILTER (WHERE differs), 0)::BIGINT AS chosen_trained,
+  coalesce(max(length(other) + 8) FILTER (WHERE differs), 0)::BIGINT AS rejected_trained
+FROM marked GROUP BY conv_id
+"""
+
+ORACLE_SQL: dict[str, str] = {"op5_preference_pairs": _OP5_SQL}
