@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearline.llm import bitpack, deobfuscate, multiset_hash, pieces, preference, tiling, warc
+from wearline.llm import bitpack, deobfuscate, fuzzy_lines, multiset_hash, pieces, preference, tiling, warc
 from wearline.workspace import new_folder
 
 
@@ -100,6 +100,11 @@ def op8_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of every document with its class, and whether it is the one of its class that stays."""
+    return fuzzy_lines.judged(fuzzy_lines.line_classes(_table(spark, sf_dir, "documents")))
+
+
 def op10_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and of their edited texts, with likenesses."""
     return multiset_hash.fingerprints(_table(spark, sf_dir, "documents"))
@@ -112,6 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_bit_packing": op6_bit_packing,
     "op7_piece_viterbi": op7_piece_viterbi,
     "op8_string_tiling": op8_string_tiling,
+    "op9_fuzzy_lines": op9_fuzzy_lines,
     "op10_multiset_fingerprint": op10_multiset_fingerprint,
 }
 
