@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearline.llm import bitpack, deobfuscate, fuzzy_lines, multiset_hash, pieces, preference, tiling, warc
+from wearline.llm import bitpack, deobfuscate, fuzzy_lines, lsh_forest, multiset_hash, pieces, preference, tiling, warc
 from wearline.workspace import new_folder
 
 
@@ -72,6 +72,11 @@ def op1_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_lsh_forest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class of near copies and its number of linked texts."""
+    return lsh_forest.classes(_table(spark, sf_dir, "documents"))
+
+
 def op4_deobfuscated_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document, learned from the labels outside the held-out fold."""
     docs = _table(spark, sf_dir, "documents")
@@ -112,6 +117,7 @@ def op10_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_transactions": op1_warc_transactions,
+    "op3_lsh_forest_join": op3_lsh_forest_join,
     "op4_deobfuscated_toxicity": op4_deobfuscated_toxicity,
     "op5_preference_pairs": op5_preference_pairs,
     "op6_bit_packing": op6_bit_packing,
