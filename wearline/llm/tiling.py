@@ -33,7 +33,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wearline.llm.common import pieces, scalar, text_of
@@ -272,6 +272,16 @@ def tiled_pairs(
     return functools.reduce(DataFrame.unionByName, parts)
 
 
+def _clean(held, threshold: float) -> Column:
+    @F.pandas_udf("boolean")
+    def clean(text: pd.Series) -> pd.Series:
+        keep = np.ones(len(text), bool)
+        keep[[found[0] for found in held.value.tiled(text, threshold)]] = False
+        return pd.Series(keep)
+
+    return clean(text_of())
+
+
 def decontaminate(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -282,13 +292,5 @@ def decontaminate(
     """The documents that no item contaminates, rows and columns as they came."""
     kept = docs
     for part in _slices(benchmark, min_match, slice_chars):
-        held = docs.sparkSession.sparkContext.broadcast(part)
-
-        @F.pandas_udf("boolean")
-        def clean(text: pd.Series, held=held) -> pd.Series:
-            keep = np.ones(len(text), bool)
-            keep[[found[0] for found in held.value.tiled(text, threshold)]] = False
-            return pd.Series(keep)
-
-        kept = kept.filter(clean(text_of()))
+        kept = kept.filter(_clean(docs.sparkSession.sparkContext.broadcast(part), threshold))
     return kept
