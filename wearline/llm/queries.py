@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearline.llm import bitpack, deobfuscate, fuzzy_lines, lsh_forest, multiset_hash, pieces, preference, tiling, warc
+from wearline.llm import bitpack, context_tree, deobfuscate, fuzzy_lines, lsh_forest, multiset_hash, pieces, preference, tiling, warc
 from wearline.workspace import new_folder
 
 
@@ -72,6 +72,11 @@ def op1_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_context_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probabilities of all documents under the training folds' context tree and word counts."""
+    return context_tree.scores(_table(spark, sf_dir, "documents"))
+
+
 def op3_lsh_forest_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class of near copies and its number of linked texts."""
     return lsh_forest.classes(_table(spark, sf_dir, "documents"))
@@ -117,6 +122,7 @@ def op10_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_transactions": op1_warc_transactions,
+    "op2_context_tree_scores": op2_context_tree_scores,
     "op3_lsh_forest_join": op3_lsh_forest_join,
     "op4_deobfuscated_toxicity": op4_deobfuscated_toxicity,
     "op5_preference_pairs": op5_preference_pairs,
