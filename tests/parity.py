@@ -41,7 +41,7 @@ def table(columns, rows):
 # Spark type -> SQL type it must meet.
 TYPES = {
     "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
-    "boolean": "BOOLEAN",
+    "boolean": "BOOLEAN", "array<double>": "DOUBLE[]",
 }
 
 

@@ -23,8 +23,9 @@ def table(spark, readings):
     """Rows of (engine, cycle, value), with the last cycle of each engine."""
     last = {}
     for engine, cycle, _ in readings:
-        last[engine] = max(cycle, last.get(engine, cycle))
-    rows = [("FD001", e, c, float(x), last[e]) for e, c, x in readings]
+        known = [c for c in (cycle, last.get(engine)) if c is not None]
+        last[engine] = max(known, default=None)
+    rows = [("FD001", e, c, None if x is None else float(x), last[e]) for e, c, x in readings]
     return spark.createDataFrame(rows, SCHEMA)
 
 
@@ -34,13 +35,8 @@ def results(df):
 
 
 def plain(df, span):
-    """One window per series. Ties go by content: by salt first where a cycle is crowded."""
-    values = df.groupBy("dataset_id", "engine_id", "cycle").agg(
-        F.ceil(F.count_distinct("x") / span).alias("salts")
-    )
-    df = df.join(values, ["dataset_id", "engine_id", "cycle"])
-    salt = F.pmod(F.xxhash64("x", "max_cycle"), "salts")
-    window = Window.partitionBy("dataset_id", "engine_id").orderBy("cycle", salt, "x")
+    """One window per series; rows of the same cycle go by content."""
+    window = Window.partitionBy("dataset_id", "engine_id").orderBy("cycle", "x", "max_cycle")
     return results(df.withColumns({n: make(window) for n, make in COLUMNS.items()}))
 
 
@@ -105,6 +101,17 @@ def test_any_readings(spark, readings):
     check(spark, readings, span=6)
 
 
+@pytest.mark.parametrize("span", [4, 16, 1000])
+def test_missing_cycles_ids_and_values(spark, span):
+    """NULL cycles, ids and values, and many readings at one cycle, in every plan."""
+    rng = random.Random(11)
+    pick = lambda *values: rng.choice(values)
+    readings = [(pick(1, 2, None), pick(None, *range(20)), pick(None, 1, 2, 3)) for _ in range(150)]
+    readings += [(1, 5, rng.randint(0, 90)) for _ in range(120)]
+    readings += [(None, None, rng.randint(0, 5)) for _ in range(40)]
+    check(spark, readings, span=span)
+
+
 def test_shape(spark):
     df = table(spark, [(1, c, 0) for c in range(25)] + [(2, 3, 0)] * 14)
     assert measure_series(df, span=10) == SeriesShape(last_block=2, fullest_block=14)

@@ -72,12 +72,16 @@ def operating_condition(settings: Iterable[str] = S.SETTINGS[:2], digits: int =
     """Label of an operating condition: the rounded settings joined by ``_``.
 
     Going through DECIMAL drops the sign of a rounded zero, so settings just
-    below and just above zero share one label.
+    below and just above zero share one label. A missing setting is ``null`` and
+    one that is no number ``nan``: labels of their own.
     """
     kind = f"decimal(18,{digits})"
-    return F.concat_ws(
-        "_", *(F.round(F.col(name), digits).cast(kind).cast("string") for name in settings)
-    )
+
+    def part(name: str) -> Column:
+        shown = F.round(F.col(name), digits).try_cast(kind).cast("string")
+        return F.when(F.isnan(name), "nan").otherwise(F.coalesce(shown, F.lit("null")))
+
+    return F.concat_ws("_", *map(part, settings))
 
 
 def count_if(predicate: Column) -> Column:

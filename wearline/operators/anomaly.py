@@ -22,12 +22,17 @@ def score_columns(sensor: str) -> list[str]:
 
 
 def score_table(
-    sensors: Sequence[str] = SCORED_SENSORS, window: int = 20, threshold: float = 2.0
+    sensors: Sequence[str] = SCORED_SENSORS,
+    window: int = 20,
+    threshold: float = 2.0,
+    flag_digits: int = 9,
 ) -> FrameTable:
     """Score each reading against the mean and deviation of its trailing window.
 
     The window holds the reading itself. A flat or single-reading window scores
-    0. The flag is strict (``abs(z) > threshold``). Gives the anomaly table:
+    0. The flag is strict (``abs(z) > threshold``) on the score rounded to
+    ``flag_digits``, so a score that is the threshold in exact numbers is not
+    flagged for its last bit. Gives the anomaly table:
     key, cycle, rul and five columns per sensor.
     """
     columns = {}
@@ -42,7 +47,7 @@ def score_table(
             distance = F.try_divide(F.col(sensor) - F.col(mean), F.col(deviation))
             frames = frames.withColumn(
                 zscore, F.when(F.col(deviation) > 0, distance).otherwise(0.0)
-            ).withColumn(anomaly, F.abs(F.col(zscore)) > threshold)
+            ).withColumn(anomaly, F.abs(F.round(zscore, flag_digits)) > threshold)
         order = [c for sensor in sensors for c in score_columns(sensor)]
         return frames.select(*S.KEY, "cycle", "rul", *order)
 
@@ -74,9 +79,11 @@ def anomaly_summary(
     )
 
 
-def top_anomalous_engines(summary: DataFrame, n: int = 10) -> DataFrame:
+def top_anomalous_engines(
+    summary: DataFrame, n: int = 10, column: str = "s02_anomaly_pct"
+) -> DataFrame:
     """The ``n`` series with the highest anomaly rate; ties go by key."""
-    return summary.orderBy(F.col("s02_anomaly_pct").desc(), *S.KEY).limit(n)
+    return summary.orderBy(F.col(column).desc(), *S.KEY).limit(n)
 
 
 def anomaly_rate(scores: DataFrame, flag: str = "s02_anomaly", digits: int = 1) -> DataFrame:

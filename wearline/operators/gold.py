@@ -182,6 +182,12 @@ def top_drift(drift: DataFrame, column: str = "s02_drift", n: int = 10) -> DataF
     return drift.orderBy(F.abs(F.col(column)).desc(), *S.KEY).limit(n)
 
 
+def longest_lives(health: DataFrame, n: int | None = None) -> DataFrame:
+    """The health table from the longest life down, optionally the first ``n``; ties go by key."""
+    ordered = health.orderBy(F.col("total_cycles").desc(), *S.KEY)
+    return ordered if n is None else ordered.limit(n)
+
+
 def life_category_counts(health: DataFrame) -> DataFrame:
     return health.groupBy("life_category").agg(F.count(F.lit(1)).alias("engines"))
 
@@ -191,5 +197,6 @@ def engine_trace(
 ) -> DataFrame:
     """Readings of one series in cycle order, optionally the first ``n``."""
     rows = df.filter((F.col("dataset_id") == dataset_id) & (F.col("engine_id") == engine_id))
-    ordered = rows.select(*S.KEY, *columns).orderBy("cycle")
-    return ordered if n is None else ordered.limit(n)
+    ties = [c for c in df.columns if c not in (*S.KEY, "cycle") and not c.endswith("_timestamp")]
+    ordered = rows.orderBy("cycle", *ties)
+    return (ordered if n is None else ordered.limit(n)).select(*S.KEY, *columns)

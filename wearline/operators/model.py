@@ -13,6 +13,8 @@ from wearline import schema as S
 
 # The forest of the baseline model.
 FOREST = {"numTrees": 100, "maxDepth": 12, "minInstancesPerNode": 5, "seed": 42}
+# Memory for split statistics: more lets one pass over the rows grow more nodes. The forest stays the same.
+PASS_MEMORY_MB = 2048
 
 
 def feature_vectors(
@@ -25,7 +27,7 @@ def train_rul(
     train: DataFrame, features: Sequence[str] = S.FEATURES, label: str = "rul", **forest
 ) -> RandomForestRegressionModel:
     """Fit a forest on the (scaled) train rows; every split may use every feature."""
-    settings = {**FOREST, "featureSubsetStrategy": "all", **forest}
+    settings = {**FOREST, "featureSubsetStrategy": "all", "maxMemoryInMB": PASS_MEMORY_MB, **forest}
     learner = RandomForestRegressor(
         featuresCol="features", labelCol="label", predictionCol="prediction", **settings
     )

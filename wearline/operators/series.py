@@ -11,7 +11,11 @@ by one of three plans, chosen from a measured shape (two numbers):
   border rows alone (the first and last few rows of each block);
 * blocks fuller than their number of cycles, which means repeated cycles: rows
   of such blocks are first collapsed to distinct rows with a copy count, spread
-  over cells by cycle and hash, and multiplied out again after the windows.
+  over cells by cycle and range of content, and multiplied out again after the
+  windows.
+
+Rows of the same cycle are ordered by content in all three plans, so they agree
+to the row. NULL keys and cycles are values like others.
 
 No task ever orders more than one block, one cell, or the border rows of one
 series: with 32-bit cycles and the default span that is at most 32,768 blocks
@@ -23,6 +27,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -31,6 +36,9 @@ from wearline.schema import KEY
 from wearline.workspace import settle
 
 SPAN = 65_536
+# Readings of the same cycle are ordered by these: everything the Gold tables show of a reading.
+TIES = ("op_setting_1", "op_setting_2", "sensor_02", "sensor_04", "sensor_11")
+DERIVED = ("max_cycle", "cycle_pct", "rul")
 WindowColumns = Mapping[str, Callable[[WindowSpec], Column]]
 
 
@@ -72,18 +80,19 @@ def series_windows(
     reach: int,
     shape: SeriesShape | None = None,
     span: int = SPAN,
+    ties: Sequence[str] | None = None,
 ) -> DataFrame:
     """Add window columns per series in cycle order.
 
     ``columns`` maps a name to a function of the ordered window; its frame must
     reach back at most ``reach`` rows and not forward. Readings with the same
-    cycle have no order of their own. They are ordered by content (in crowded
-    cycles by a hash of it first), never by how rows happen to be laid out, so
-    a lost and recomputed partition gives the same result.
+    cycle have no order of their own. They are ordered by content, never by how
+    rows happen to be laid out, so a lost and recomputed partition gives the
+    same result. ``ties`` names the columns of that order; by default all.
     """
     if shape is None:
         shape = measure_series(df, span)
-    others = [c for c in df.columns if c not in (*KEY, "cycle")]
+    others = [c for c in df.columns if c not in (*KEY, "cycle")] if ties is None else list(ties)
     if shape.fullest_block > span:
         return _crowded(df, columns, reach, span, others)
     if shape.last_block == 0:
@@ -114,8 +123,14 @@ def frames_of(
     tables = list(tables)
     reads = dict.fromkeys(c for t in tables for c in t.reads)
     columns = {name: make for t in tables for name, make in t.columns.items()}
-    narrow = df.select(*KEY, "cycle", "max_cycle", *reads)
-    return series_windows(narrow, columns, max(t.reach for t in tables), shape, span)
+    # The same order for whatever tables are asked for, so that a table has one
+    # content whether it is made alone or with others. What depends on the key
+    # and the cycle decides nothing.
+    given = set(df.columns)
+    ties = [c for c in TIES if c in given]
+    ties += [c for c in reads if c not in (*TIES, *DERIVED)]
+    narrow = df.select(*KEY, "cycle", "max_cycle", *dict.fromkeys((*reads, *ties)))
+    return series_windows(narrow, columns, max(t.reach for t in tables), shape, span, ties)
 
 
 def frame_table(
@@ -172,6 +187,14 @@ def _by_levels(
     return reduce(DataFrame.unionByName, finished).drop("__open")
 
 
+def _join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """A join on columns of both sides in which NULL equals NULL."""
+    names = {c: f"{c}__right" for c in on}
+    renamed = right.withColumnsRenamed(names)
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(n)) for c, n in names.items()))
+    return left.join(renamed, same, how).drop(*names.values())
+
+
 def _crowded(
     df: DataFrame, columns: WindowColumns, reach: int, span: int, others: Sequence[str]
 ) -> DataFrame:
@@ -186,34 +209,41 @@ def _crowded(
     place = [*KEY, "__block"]
     full = blocked.groupBy(*place).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > span)
     full = settle(full.select(*place), "crowded-blocks")
-    calm = blocked.join(full, place, "left_anti").withColumns(
+    calm = _join(blocked, full, place, "left_anti").withColumns(
         {
             "__cell": F.lit(None).cast("int"),
-            "__salt": F.lit(0).cast("long"),
+            "__part": F.lit(0),
             "__copy": F.lit(1).cast("long"),
             "__weight": F.lit(1).cast("long"),
         }
     )
 
     distinct = settle(
-        blocked.join(full, place, "left_semi")
+        _join(blocked, full, place, "left_semi")
         .groupBy(*df.columns, "__block")
         .agg(F.count(F.lit(1)).alias("__copies")),
         "crowded-rows",
     )
-    cells = settle(
-        distinct.groupBy(*KEY, "cycle").agg(
-            F.ceil(F.count(F.lit(1)) / F.lit(span)).alias("__salts")
-        ),
-        "crowded-cycles",
+    # A cycle with many different rows is cut into ranges of content, at rows
+    # that their hash picks, about one in ``span``.
+    content = F.struct(*others) if others else F.struct(F.lit(0))
+    sizes = distinct.groupBy(*KEY, "cycle").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > span)
+    sizes = settle(sizes.drop("__n"), "crowded-cycles")
+    picked = _join(distinct, sizes, [*KEY, "cycle"], "left_semi").filter(
+        F.pmod(F.xxhash64(content), F.lit(span)) == 0
+    )
+    cuts = settle(
+        picked.groupBy(*KEY, "cycle").agg(F.sort_array(F.collect_set(content)).alias("__cuts")),
+        "content-cuts",
     )
     most = reach + 2
+    below = F.size(F.filter(F.coalesce("__cuts", F.array().cast(cuts.schema["__cuts"].dataType)), lambda c: c <= content))
     crowd = (
-        distinct.join(cells, [*KEY, "cycle"])
+        _join(distinct, cuts, [*KEY, "cycle"], "left")
         .withColumns(
             {
                 "__cell": F.col("cycle"),
-                "__salt": F.pmod(F.xxhash64(*others), F.col("__salts")) if others else F.lit(0),
+                "__part": below,
                 "__copy": F.explode(F.sequence(F.lit(1), F.least(F.col("__copies"), F.lit(most)))),
             }
         )
@@ -225,13 +255,13 @@ def _crowded(
     rows = calm.unionByName(crowd.select(*calm.columns)).withColumn("__open", F.lit(True))
     done = _by_levels(
         rows,
-        levels=[("__block", "__cell", "__salt"), ("__block",), ()],
-        order=["cycle", "__salt", *others, "__copy"],
+        levels=[("__block", "__cell", "__part"), ("__block",), ()],
+        order=["cycle", *others, "__copy"],
         columns=columns,
         reach=reach,
-        starts_series=(F.col("__block") == 0) & F.col("__cell").isNull(),
+        starts_series=(F.col("__block") == 0) & F.col("__cell").isNull() & F.col("cycle").isNotNull(),
         has_borders=F.lit(True),
-    ).drop("__block", "__cell", "__salt", "__copy")
+    ).drop("__block", "__cell", "__part", "__copy")
 
     # Multiply the copies out in pieces, spread over tasks, of at most span rows.
     pieces = (

@@ -76,17 +76,25 @@ def rows_of(df: DataFrame, engines: DataFrame) -> DataFrame:
     return df.join(engines.select(*S.KEY), list(S.KEY), "left_semi")
 
 
+TRAIN, TEST, NEITHER = "train", "test", "neither"
+
+
 def mark_split_fixed(
-    df: DataFrame, train: tuple[int, int] = (1, 80), test: tuple[int, int] = (81, 100)
+    df: DataFrame,
+    train: tuple[int, int] = (1, 80),
+    test: tuple[int, int] = (81, 100),
+    dataset_id: str | None = None,
 ) -> DataFrame:
-    """Split by two inclusive id ranges; engines in neither range are left out."""
+    """Add ``part`` by two inclusive id ranges, of one dataset or of all.
+
+    Rows of other datasets and ids in neither range stay, marked ``neither``.
+    """
     engine = F.col("engine_id")
-    return df.filter(engine.between(*train) | engine.between(*test)).withColumn(
-        "is_train", engine.between(*train)
-    )
+    of = F.lit(True) if dataset_id is None else F.col("dataset_id").eqNullSafe(F.lit(dataset_id))
+    part = F.when(of & engine.between(*train), TRAIN).when(of & engine.between(*test), TEST)
+    return df.withColumn("part", part.otherwise(NEITHER))
 
 
-def engine_split_fixed(
-    df: DataFrame, train: tuple[int, int] = (1, 80), test: tuple[int, int] = (81, 100)
-) -> DataFrame:
-    return mark_split_fixed(df.select(*S.KEY), train, test).distinct()
+def engine_split_fixed(df: DataFrame, *ranges: tuple[int, int], dataset_id: str | None = None) -> DataFrame:
+    """The fixed split as a table: one row per series, also of those in neither part."""
+    return mark_split_fixed(df.select(*S.KEY), *ranges, dataset_id=dataset_id).distinct()

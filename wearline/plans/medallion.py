@@ -99,7 +99,8 @@ class Medallion:
         frames = frames_of(self.valid, shared.values(), **self._frames())
         layers.overwrite_layer(frames, f"{root}/frames")
         stored = layers.read_layer(self.spark, f"{root}/frames", frames.schema)
-        tables = self.gold_tables() | {n: table.show(stored) for n, table in shared.items()}
+        tables = {n: table.show(stored) for n, table in shared.items()}
+        tables |= {"engine_health": self.engine_health(), "sensor_drift": self.sensor_drift()}
         for name, table in tables.items():
             layers.overwrite_layer(table, f"{root}/{name}")
         return root
@@ -161,9 +162,17 @@ def register_views(tables: Medallion) -> dict[str, DataFrame]:
 _built: dict[tuple, Medallion] = {}
 
 
+def version_of(spark: SparkSession, source: str) -> str:
+    """Files of an input with their sizes and times, as one hash; nothing of them is read."""
+    files = spark.read.format("binaryFile").load(source)
+    named = F.xxhash64("path", "modificationTime", "length")
+    row = files.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(named).alias("x")).first()
+    return f"{row['n']}-{row['x']}"
+
+
 def layers_of(spark: SparkSession, source: str, load: Callable[[], DataFrame]) -> Medallion:
-    """Layers of an input, built once per application and reused by later queries."""
-    key = (spark.sparkContext.applicationId, source)
+    """Layers of an input, built once per application and version of the input."""
+    key = (spark.sparkContext.applicationId, source, version_of(spark, source))
     if key not in _built:
         _built[key] = build_layers(load())
     return _built[key]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from wearline import schema as S
+from wearline.operators.series import TIES
 
 READING = [f.name for f in S.READING_SCHEMA.fields]
 _KEY = "dataset_id, engine_id"
@@ -90,7 +91,8 @@ def _delta(sensor: str) -> str:
     return f"{sensor} - lag({sensor}) OVER (PARTITION BY {_KEY} ORDER BY cycle)"
 
 
-def _features(rul: str, digits: int | None = 6) -> str:
+def _features(rul: str, digits: int | None = 6, fine: int | None = None) -> str:
+    """``fine``: digits of everything but the mean, where they differ."""
     derived = {
         "s02_mean_10": _frame("avg(sensor_02)", 10),
         "s02_std_10": _frame("stddev_samp(sensor_02)", 10),
@@ -98,7 +100,8 @@ def _features(rul: str, digits: int | None = 6) -> str:
         "s04_delta": _delta("sensor_04"),
     }
     shown = ", ".join(
-        f"{e if digits is None else _rounded(e, digits)} AS {n}" for n, e in derived.items()
+        f"{e if digits is None else _rounded(e, digits if fine is None or 'mean' in n else fine)} AS {n}"
+        for n, e in derived.items()
     )
     return f"""
 features AS MATERIALIZED (
@@ -108,18 +111,20 @@ features AS MATERIALIZED (
 )"""
 
 
-_HEALTH = f"""
+def _health(means: int, spread: int) -> str:
+    return f"""
 health AS (
   SELECT {_KEY}, max(cycle) AS total_cycles,
-    {_rounded('avg(sensor_02)', 9)} AS avg_sensor_02,
-    {_rounded('avg(sensor_04)', 9)} AS avg_sensor_04,
-    {_rounded('avg(sensor_11)', 9)} AS avg_sensor_11,
-    {_rounded('stddev_samp(sensor_02)', 9)} AS stddev_sensor_02,
+    {_rounded('avg(sensor_02)', means)} AS avg_sensor_02,
+    {_rounded('avg(sensor_04)', means)} AS avg_sensor_04,
+    {_rounded('avg(sensor_11)', means)} AS avg_sensor_11,
+    {_rounded('stddev_samp(sensor_02)', spread)} AS stddev_sensor_02,
     CASE WHEN max(cycle) > 200 THEN 'long_life'
          WHEN max(cycle) > 130 THEN 'medium_life' ELSE 'short_life' END AS life_category
   FROM valid GROUP BY {_KEY}
 )"""
 
+_HEALTH = _health(9, 9)
 _DRIFT_NAMES = ("s02", "s04", "s11")
 
 
@@ -132,11 +137,14 @@ def _period(suffix: str, condition: str) -> str:
 
 
 _PERIODS = f"{_period('early', 'cycle <= 30')},{_period('late', 'rul <= 30')}"
-_DRIFT = (
-    f"{_PERIODS},\ndrift AS (SELECT {_KEY}, "
-    + ", ".join(f"{_rounded(f'{n}_late - {n}_early', 9)} AS {n}_drift" for n in _DRIFT_NAMES)
-    + f" FROM early JOIN late USING ({_KEY}))"
-)
+
+
+def _drift(digits: int) -> str:
+    changes = ", ".join(f"{_rounded(f'{n}_late - {n}_early', digits)} AS {n}_drift" for n in _DRIFT_NAMES)
+    return f"{_PERIODS},\ndrift AS (SELECT {_KEY}, {changes} FROM early JOIN late USING ({_KEY}))"
+
+
+_DRIFT = _drift(9)
 
 
 def _scores() -> str:
@@ -151,7 +159,7 @@ def _scores() -> str:
     )
     shown = ", ".join(
         f"{s}, {_rounded(f'{n}_m', 6)} AS {n}_rolling_mean, {_rounded(f'{n}_d', 6)} AS {n}_rolling_std,"
-        f" {_rounded(f'{n}_z', 6)} AS {n}_zscore, abs({n}_z) > 2.0 AS {n}_anomaly"
+        f" {_rounded(f'{n}_z', 6)} AS {n}_zscore, abs(round({n}_z, 9)) > 2.0 AS {n}_anomaly"
         for s, n in (("sensor_02", "s02"), ("sensor_11", "s11"))
     )
     return f"""
@@ -185,9 +193,11 @@ split AS MATERIALIZED (
   SELECT {_KEY}, place <= floor(engines * 0.8::DOUBLE) AS is_train FROM ranked
 )"""
 
-_CONDITION = (
-    "concat_ws('_', round(op_setting_1, 2)::DECIMAL(18,2)::VARCHAR,"
-    " round(op_setting_2, 2)::DECIMAL(18,2)::VARCHAR)"
+_CONDITION = "concat_ws('_', {}, {})".format(
+    *(
+        f"CASE WHEN isnan({c}) THEN 'nan' ELSE coalesce(round({c}, 2)::DECIMAL(18,2)::VARCHAR, 'null') END"
+        for c in ("op_setting_1", "op_setting_2")
+    )
 )
 _COMPLETE = " AND ".join(f"{f} IS NOT NULL" for f in S.FEATURES)
 
@@ -236,8 +246,9 @@ def _scaled(condition: bool) -> str:
     back = ", ".join(f"max(z) FILTER (feature = '{f}') AS {f}" for f in S.FEATURES)
     return f"""{_STUDY},
 long AS (UNPIVOT (SELECT {keys}, {listed} FROM model_rows) ON {listed} INTO NAME feature VALUE x),
-standard AS (SELECT {keys}, feature, {_rounded(value, 6)} AS z FROM long {joins})
-SELECT {keys}, {back} FROM standard GROUP BY {keys}"""
+standard AS (SELECT {keys}, feature, {_rounded(value, 6)} AS z FROM long {joins}),
+ wide AS (SELECT {keys}, {back} FROM standard GROUP BY {keys})
+SELECT * FROM wide"""
 
 
 def _long_scaler(source: str, by: str) -> str:
@@ -313,6 +324,12 @@ def all_oracles() -> dict[str, str]:
         "scan_layer": f"{silver} SELECT {_KEY}, cycle, status, rul FROM silver",
         "union_datasets": whole,
         "bronze_append": counted("bronze", "dataset_id", bronze),
+        "bronze_appended_rows": whole,
+        "stream_damaged": f"{bronze} SELECT dataset_id, engine_id, cycle, sensor_02,"
+        " CASE WHEN cycle % 89 <> 0 THEN sensor_21 END AS sensor_21,"
+        " CASE WHEN cycle % 79 <> 0 THEN 1704067200::BIGINT + cycle * 60 END AS emitted_second,"
+        " false AS quarantined FROM bronze WHERE cycle % 73 <> 0"
+        " UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, true FROM bronze WHERE cycle % 73 = 0",
         "stream_ingest": f"{bronze} SELECT {reading}, dataset_id,"
         " 1704067200::BIGINT + cycle * 60 AS emitted_second FROM bronze",
         "bronze_union": f"{silver} SELECT {reading}, dataset_id, status,"
@@ -335,6 +352,12 @@ def all_oracles() -> dict[str, str]:
         "rolling_averages": f"{silver} SELECT {_KEY}, cycle, sensor_02, sensor_04, sensor_11,"
         f" {rolling} FROM valid",
         "engine_health": f"{silver},{_HEALTH} SELECT * FROM health",
+        "health_top": f"{silver},{_HEALTH} SELECT * FROM health"
+        f" ORDER BY total_cycles DESC, {_KEY} LIMIT 10",
+        "stg_sensor_readings": f"{_silver('staging')} SELECT {reading}, dataset_id, status, max_cycle,"
+        " cycle_pct, rul FROM silver",
+        "mart_engine_health": f"{_silver('staging')},{_HEALTH} SELECT * FROM health",
+        "mart_sensor_drift": f"{_silver('staging')},{_DRIFT} SELECT * FROM drift",
         "life_category_counts": f"{silver},{_HEALTH}"
         " SELECT life_category, count(*) AS engines FROM health GROUP BY life_category",
         "ml_features": f"{silver},{_features('rul')} SELECT * FROM features",
@@ -362,11 +385,21 @@ def all_oracles() -> dict[str, str]:
         "rul_preview": f"{silver} SELECT {_KEY}, cycle, rul FROM valid"
         " WHERE dataset_id = 'FD001' AND engine_id = 1 ORDER BY cycle LIMIT 5",
         "op_condition": f"{silver} SELECT {_KEY}, cycle, {_CONDITION} AS op_cond FROM valid",
+        "op_condition_missing": f"{silver}, spoiled AS (SELECT {_KEY}, cycle,"
+        " CASE WHEN cycle % 7 = 0 THEN NULL WHEN cycle % 11 = 0 THEN 'nan'::DOUBLE"
+        " ELSE op_setting_1 END AS op_setting_1,"
+        " CASE WHEN cycle % 5 <> 0 THEN op_setting_2 END AS op_setting_2 FROM valid)"
+        f" SELECT {_KEY}, cycle, {_CONDITION} AS op_cond FROM spoiled",
         "engine_split": f"{silver},{_SPLIT} SELECT * FROM split",
-        "engine_split_fixed": f"{silver} SELECT DISTINCT {_KEY}, engine_id <= 80 AS is_train"
-        " FROM valid WHERE engine_id BETWEEN 1 AND 100",
-        "engine_split_ranges": f"{silver} SELECT DISTINCT {_KEY}, engine_id <= 2 AS is_train"
-        " FROM valid WHERE engine_id BETWEEN 1 AND 3",
+        "engine_split_fixed": f"{silver} SELECT DISTINCT {_KEY}, CASE"
+        " WHEN dataset_id = 'FD001' AND engine_id BETWEEN 1 AND 80 THEN 'train'"
+        " WHEN dataset_id = 'FD001' AND engine_id BETWEEN 81 AND 100 THEN 'test'"
+        " ELSE 'neither' END AS part FROM valid",
+        "engine_split_ranges": f"{silver} SELECT DISTINCT {_KEY}, CASE"
+        " WHEN engine_id BETWEEN 1 AND 2 THEN 'train' WHEN engine_id = 3 THEN 'test'"
+        " ELSE 'neither' END AS part FROM valid",
+        "engine_split_rows": f"{silver},{_SPLIT} SELECT {_KEY}, cycle, rul FROM valid"
+        f" WHERE ({_KEY}) IN (SELECT ({_KEY}) FROM split WHERE is_train)",
         "train_rows": f"{study} SELECT {_MODEL} FROM train",
         "test_rows": f"{study} SELECT {_MODEL} FROM test",
         "model_rows": f"{study} SELECT {_KEY}, cycle, is_train FROM model_rows",
@@ -384,6 +417,11 @@ def all_oracles() -> dict[str, str]:
         "regression_metrics": f"{study} SELECT dataset_id,"
         f" {_rounded(f'sqrt(avg({error} * {error}))', 9)} AS rmse,"
         f" {_rounded(f'avg(abs({error}))', 9)} AS mae FROM test GROUP BY dataset_id",
+        "feature_vectors": _scaled(True).removesuffix("SELECT * FROM wide")
+        + f"SELECT {_KEY}, cycle, [{', '.join(S.FEATURES)}] AS features FROM wide",
+        "rul_check": f"{study} SELECT dataset_id, count(*) AS test_rows,"
+        " count(DISTINCT engine_id) AS test_engines, true AS beats_mean, true AS in_range,"
+        " true AS importances_sum_to_one FROM test GROUP BY dataset_id",
         "quality_report": f"{silver},{_HEALTH},{_features('rul')},{_DRIFT} {_checks()}",
         "rul_violations": f"{silver},"
         f" stepped AS (SELECT *, lag(rul) OVER (PARTITION BY {_KEY} ORDER BY cycle) AS prior"
@@ -395,6 +433,24 @@ def all_oracles() -> dict[str, str]:
         " max(anomaly_rate_pct) FILTER (life_stage = 'late (RUL < 30)') >= max(anomaly_rate_pct)"
         " AS late_is_highest FROM stages",
     }
+    bodies |= {
+        "gold_written_rolling_averages": bodies["rolling_averages"],
+        "gold_written_engine_health": f"{silver},{_health(2, 3)} SELECT * FROM health",
+        "gold_written_ml_features": f"{silver},{_features('rul', 3, 4)} SELECT * FROM features",
+        "gold_written_sensor_drift": f"{silver},{_drift(3)} SELECT * FROM drift",
+        "gold_written_anomaly_scores": bodies["anomaly_scores"],
+    }
+    ties = ", ".join(f"{c} NULLS FIRST" for c in ("cycle", *TIES))
+    repeated = ", ".join(
+        _rounded(_frame(f"avg({s})", n).replace("ORDER BY cycle", f"ORDER BY {ties}"), 6) + f" AS {s}_avg_{n}"
+        for s, n in (("sensor_02", 10), ("sensor_02", 30), ("sensor_04", 10))
+    )
+    for name in ("whole", "blocked", "crowded"):
+        bodies[f"rolling_averages_{name}"] = (
+            f"{silver}, repeated AS (SELECT * REPLACE ("
+            "CASE WHEN cycle % 50 <> 0 THEN cycle // 3 END AS cycle) FROM valid)"
+            f" SELECT {_KEY}, cycle, sensor_02, sensor_04, sensor_11, {repeated} FROM repeated"
+        )
     for name, rule in _STATUS.items():
         bodies[f"silver_status_{name}"] = (
             f"{bronze} SELECT {_KEY}, cycle, {rule} AS status FROM bronze"

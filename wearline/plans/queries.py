@@ -34,6 +34,7 @@ from wearline.streaming import ingest
 
 READING = tuple(f.name for f in S.READING_SCHEMA.fields)
 ROW, GROUP = 6, 9
+WRITTEN = ("engine_health", "ml_features", "sensor_drift", "anomaly_scores")
 QUICK = {"availableNow": True}
 
 _studies: dict[tuple, Study] = {}
@@ -45,9 +46,10 @@ def tables(spark: SparkSession, sf_dir: str) -> Medallion:
 
 
 def study(spark: SparkSession, sf_dir: str, digits=None) -> Study:
-    key = (spark.sparkContext.applicationId, sf_dir, digits)
+    layers_now = tables(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, layers_now.root, digits)
     if key not in _studies:
-        _studies[key] = Study(tables(spark, sf_dir), digits=digits)
+        _studies[key] = Study(layers_now, digits=digits)
     return _studies[key]
 
 
@@ -119,19 +121,28 @@ def scan_layer(spark, sf_dir):
 
 
 def union_datasets(spark, sf_dir):
+    """Every dataset as a frame of its own, whatever they are called, put together again."""
     bronze = tables(spark, sf_dir).bronze.select(*READING, "dataset_id")
-    names = ("FD001", "FD002", "FD003", "FD004")
-    return layers.union_datasets(*(bronze.filter(F.col("dataset_id") == n) for n in names))
+    names = [r[0] for r in bronze.select("dataset_id").distinct().toLocalIterator()]
+    return layers.union_datasets(*(bronze.filter(F.col("dataset_id").eqNullSafe(F.lit(n))) for n in names))
 
 
-def bronze_append(spark, sf_dir):
+def _appended(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads appended to one Bronze table."""
     bronze = tables(spark, sf_dir).bronze
     path = new_folder(spark, "bronze")
-    early = F.col("dataset_id") <= "FD002"
+    early = F.coalesce(F.col("dataset_id") <= "FD002", F.lit(False))
     for load in (bronze.filter(early), bronze.filter(~early)):
         layers.append_bronze(load, path)
-    return validation.rows_by(layers.read_layer(spark, path, S.BRONZE_SCHEMA), "dataset_id")
+    return layers.read_layer(spark, path, S.BRONZE_SCHEMA)
+
+
+def bronze_append(spark, sf_dir):
+    return validation.rows_by(_appended(spark, sf_dir), "dataset_id")
+
+
+def bronze_appended_rows(spark, sf_dir):
+    return _appended(spark, sf_dir).select(*READING, "dataset_id")
 
 
 def _land(readings: DataFrame) -> str:
@@ -163,13 +174,44 @@ def stream_ingest(spark, sf_dir):
 def bronze_union(spark, sf_dir):
     """Three datasets by batch and one by stream, through one Silver."""
     bronze = tables(spark, sf_dir).bronze
-    late = F.col("dataset_id") == "FD004"
+    late = F.col("dataset_id").eqNullSafe(F.lit("FD004"))
     both = layers.union_bronze(bronze.filter(~late), _streamed(bronze.filter(late)))
     return validation.validate(both).select(
         *READING, "dataset_id", "status", F.col("emitted_at").isNotNull().alias("from_stream")
     )
 
 
+def stream_damaged(spark, sf_dir):
+    """A feed with mistyped, fractional, undated and broken lines: Bronze and quarantine together."""
+    bronze = tables(spark, sf_dir).bronze
+    cycle = F.col("cycle")
+    emitted = F.timestamp_seconds(F.lit(1_704_067_200) + cycle * 60)
+    line = F.to_json(F.struct(*READING, "dataset_id", emitted.alias("emitted_at")))
+    for every, field, other in (
+        (89, r'"sensor_21":[^,]*', '"sensor_21":"worn"'),
+        (83, r'"cycle":([0-9]+)', '"cycle":$1.0'),
+        (79, r'"emitted_at":"[^"]*"', '"emitted_at":"yesterday"'),
+    ):
+        line = F.when(cycle % every == 0, F.regexp_replace(line, field, other)).otherwise(line)
+    lines = bronze.select(F.when(cycle % 73 == 0, F.substring(line, F.lit(1), F.length(line) - 9)).otherwise(line).alias("value"))
+    landing = new_folder(spark, "landing")
+    lines.write.text(landing)
+    out, bad = new_folder(spark, "stream-bronze"), new_folder(spark, "stream-quarantine")
+    for start, path in ((ingest.start_bronze_stream, out), (ingest.start_quarantine_stream, bad)):
+        start(ingest.read_stream(spark, landing), path, new_folder(spark, "stream-state"), QUICK).awaitTermination()
+    good = layers.read_layer(spark, out).select(
+        "dataset_id",
+        "engine_id",
+        "cycle",
+        "sensor_02",
+        "sensor_21",
+        F.unix_timestamp("emitted_at").alias("emitted_second"),
+        F.lit(False).alias("quarantined"),
+    )
+    kept = layers.read_layer(spark, bad).select(F.lit(True).alias("quarantined"))
+    return good.unionByName(kept, allowMissingColumns=True)
+
+
 def gold_write(spark, sf_dir):
     """The Gold tables as written, by row count."""
     root = tables(spark, sf_dir).write_gold(new_folder(spark, "gold"))
@@ -182,6 +224,26 @@ def gold_write(spark, sf_dir):
     return layers.union_datasets(*counted)
 
 
+def _written_gold(name: str):
+    """A Gold table as written with its published digits, and read back."""
+
+    def query(spark, sf_dir):
+        root = tables(spark, sf_dir).write_gold(new_folder(spark, "gold"))
+        table = layers.read_layer(spark, f"{root}/{name}")
+        # Scores are published unrounded.
+        scores = [c for s in anomaly.SCORED_SENSORS for c in anomaly.score_columns(s)[1:4]]
+        return _round(table, ROW, *scores) if name == "anomaly_scores" else table
+
+    return query
+
+
+def _written_rolling(spark, sf_dir):
+    """The rolling averages written with more digits: published ones may fall on a decimal tie."""
+    path = new_folder(spark, "rolling")
+    layers.overwrite_layer(rolling_averages(spark, sf_dir), path)
+    return layers.read_layer(spark, path)
+
+
 # --- Silver -----------------------------------------------------------------
 
 
@@ -231,6 +293,11 @@ def engine_health(spark, sf_dir):
     return tables(spark, sf_dir).engine_health(digits=(GROUP, GROUP))
 
 
+def health_top(spark, sf_dir):
+    """The ten longest lives."""
+    return gold.longest_lives(engine_health(spark, sf_dir), 10)
+
+
 def life_category_counts(spark, sf_dir):
     return gold.life_category_counts(tables(spark, sf_dir).engine_health())
 
@@ -245,6 +312,38 @@ def mart_ml_features(spark, sf_dir):
     return _round(table, ROW, "s02_mean_10", "s02_std_10", "s02_delta", "s04_delta")
 
 
+def stg_sensor_readings(spark, sf_dir):
+    """The staging model: every row, under its own rules."""
+    staging = model_views(tables(spark, sf_dir))["stg_sensor_readings"]
+    return staging.select(*READING, "dataset_id", "status", "max_cycle", "cycle_pct", "rul")
+
+
+def mart_engine_health(spark, sf_dir):
+    staging = model_views(tables(spark, sf_dir))["stg_sensor_readings"]
+    return gold.engine_health(validation.valid_rows(staging), digits=(GROUP, GROUP))
+
+
+def mart_sensor_drift(spark, sf_dir):
+    staging = model_views(tables(spark, sf_dir))["stg_sensor_readings"]
+    return gold.sensor_drift(validation.valid_rows(staging), digits=GROUP)
+
+
+def _repeated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Valid readings in which three neighbours share a cycle and some have none."""
+    cycle = F.col("cycle")
+    folded = F.when(cycle % 50 != 0, F.floor(cycle / 3).cast("int"))
+    return tables(spark, sf_dir).valid.withColumn("cycle", folded)
+
+
+def _rolling_by(span: int):
+    """Rolling averages over repeated and missing cycles, with blocks of ``span`` cycles."""
+
+    def query(spark, sf_dir):
+        return gold.rolling_averages(_repeated(spark, sf_dir), span=span, digits=ROW)
+
+    return query
+
+
 def early_means(spark, sf_dir):
     table = gold.early_means(tables(spark, sf_dir).valid)
     return _round(table, GROUP, "s02_early", "s04_early", "s11_early")
@@ -322,19 +421,38 @@ def op_condition(spark, sf_dir):
     return marked.select(*S.KEY, "cycle", "op_cond")
 
 
+def op_condition_missing(spark, sf_dir):
+    """Conditions where settings are missing or no numbers."""
+    cycle = F.col("cycle")
+    spoiled = tables(spark, sf_dir).valid.withColumns(
+        {
+            "op_setting_1": F.when(cycle % 7 == 0, None).when(cycle % 11 == 0, float("nan")).otherwise(F.col("op_setting_1")),
+            "op_setting_2": F.when(cycle % 5 == 0, None).otherwise(F.col("op_setting_2")),
+        }
+    )
+    return scaling.with_op_condition(spoiled).select(*S.KEY, "cycle", "op_cond")
+
+
 def engine_split(spark, sf_dir):
     return split.engine_split(tables(spark, sf_dir).valid, study(spark, sf_dir).cuts)
 
 
 def engine_split_fixed(spark, sf_dir):
-    return split.engine_split_fixed(tables(spark, sf_dir).valid)
+    """The fixed split of the first dataset; all other engines are in neither part."""
+    return split.engine_split_fixed(tables(spark, sf_dir).valid, dataset_id="FD001")
 
 
 def engine_split_ranges(spark, sf_dir):
-    """The fixed split with ranges that leave some engines out at every scale."""
+    """The fixed split by other ranges, in every dataset."""
     return split.engine_split_fixed(tables(spark, sf_dir).valid, (1, 2), (3, 3))
 
 
+def engine_split_rows(spark, sf_dir):
+    """Readings of the listed train engines."""
+    engines = engine_split(spark, sf_dir).filter("is_train")
+    return split.rows_of(tables(spark, sf_dir).valid, engines).select(*S.KEY, "cycle", "rul")
+
+
 def _model_columns(df: DataFrame) -> DataFrame:
     return _round(df.select(*S.KEY, "cycle", "rul", "op_cond", *S.FEATURES), ROW, *S.FEATURES)
 
@@ -395,7 +513,9 @@ def regression_metrics(spark, sf_dir):
 
 def feature_vectors(spark, sf_dir):
     vectors = model.feature_vectors(study(spark, sf_dir).scaled)
-    return vectors.select(*S.KEY, "cycle", vector_to_array("features").alias("features"))
+    # 0.0 is added to lose the sign of a rounded zero.
+    values = F.transform(vector_to_array("features"), lambda x: F.round(x, ROW) + F.lit(0.0))
+    return vectors.select(*S.KEY, "cycle", values.alias("features"))
 
 
 def rul_predictions(spark, sf_dir):
@@ -406,6 +526,27 @@ def rul_results(spark, sf_dir):
     return baseline(spark, sf_dir).results
 
 
+def rul_check(spark, sf_dir):
+    """What must hold of the fitted forests, per dataset."""
+    s = baseline(spark, sf_dir)
+    label = F.col("label")
+    mean = scaling.label_distribution(s.train).select("dataset_id", "mean_rul")
+    errors = (
+        s.predictions.join(mean, "dataset_id")
+        .groupBy("dataset_id")
+        .agg(
+            F.count(F.lit(1)).alias("test_rows"),
+            F.count_distinct("engine_id").alias("test_engines"),
+            (F.avg((F.col("prediction") - label) ** 2) < F.avg((F.col("mean_rul") - label) ** 2)).alias("beats_mean"),
+            F.bool_and(F.col("prediction").between(0, S.RUL_CAP)).alias("in_range"),
+        )
+    )
+    weights = s.importance.groupBy("dataset_id").agg(
+        (F.abs(F.sum("importance") - 1) < 1e-9).alias("importances_sum_to_one")
+    )
+    return errors.join(weights, "dataset_id")
+
+
 def feature_importance(spark, sf_dir):
     return baseline(spark, sf_dir).importance
 
@@ -435,18 +576,25 @@ def late_stage_report(spark, sf_dir):
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     plain = (
         scan_readings, scan_glob, dataset_from_filename, scan_permissive, scan_malformed,
-        scan_layer, union_datasets, bronze_append, stream_ingest, bronze_union, gold_write,
+        scan_layer, union_datasets, bronze_append, bronze_appended_rows, stream_ingest,
+        stream_damaged, bronze_union, gold_write, health_top, stg_sensor_readings,
+        mart_engine_health, mart_sensor_drift,
         silver_valid, silver_derived, rul_capped, rows_by_dataset, rows_by_status, engine_count,
         rolling_averages, engine_health, life_category_counts, ml_features, mart_ml_features,
         early_means, late_means, sensor_drift, sensor_drift_join, top_drift,
         anomaly_scores, anomaly_table, anomaly_summary, top_anomalous_engines, anomaly_rate,
         anomaly_by_life_stage, anomaly_points, engine_trace, rul_preview,
-        op_condition, engine_split, engine_split_fixed, engine_split_ranges,
+        op_condition, op_condition_missing,
+        engine_split, engine_split_fixed, engine_split_ranges, engine_split_rows,
         train_rows, test_rows, model_rows, rul_distribution,
         scaler_global, scaler_per_condition, scaler_fallback, condition_count,
         unseen_conditions, scaled_features, scaled_features_global,
-        regression_metrics, feature_vectors, rul_predictions, rul_results, feature_importance,
+        regression_metrics, feature_vectors, rul_predictions, rul_results, rul_check, feature_importance,
         quality_report, rul_violations, late_stage_report,
     )
     statuses = {f"silver_status_{name}": _status(name) for name in validation.PRESETS}
-    return {query.__name__: query for query in plain} | statuses
+    written = {f"gold_written_{name}": _written_gold(name) for name in WRITTEN}
+    spans = {"whole": 1 << 20, "blocked": 64, "crowded": 8}
+    written["gold_written_rolling_averages"] = _written_rolling
+    rolling = {f"rolling_averages_{name}": _rolling_by(span) for name, span in spans.items()}
+    return {query.__name__: query for query in plain} | statuses | written | rolling

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 from wearline.schema import BRONZE_SCHEMA, KEY, SENSORS
 
 
-PERIODS = ("day", "hour", "minute", "second")
+PERIODS = ("day", "hour", "minute", "second", "millisecond", "microsecond")
 LIMIT = 1_000_000
 
 
@@ -23,6 +25,8 @@ def finest_period(df: DataFrame, time: str = "ts", limit: int = LIMIT) -> str |
 
     None if whole series are that small. Each try is one aggregate over the key
     columns and brings one number to the driver; ordinary feeds need one try.
+    Rows of one series and one microsecond cannot be told apart by time; more of
+    them than ``limit`` are an error of the feed and are named as such.
     """
     for period in (None, *PERIODS):
         placed = df if period is None else _with_period(df, time, period)
@@ -30,7 +34,7 @@ def finest_period(df: DataFrame, time: str = "ts", limit: int = LIMIT) -> str |
         rows = placed.groupBy(*place).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
         if (rows or 0) <= limit:
             return period
-    return PERIODS[-1]
+    raise ValueError(f"more than {limit} rows of one series have the same time")
 
 
 def number_readings(
@@ -40,7 +44,8 @@ def number_readings(
 
     Small series are ranked by one window. Otherwise rows are ranked inside
     (series, period) and shifted by the number of rows in earlier periods,
-    known from a count table, which spreads a long series over many tasks.
+    known from a count table, which spreads a long series over many tasks. Rows
+    without a time or an id are numbered like others, null times first.
     """
     period = finest_period(df, order[0], limit)
     if period is None:
@@ -60,11 +65,13 @@ def number_readings(
         .drop("__n")
     )
     rank = F.row_number().over(Window.partitionBy(*place).orderBy(*order))
+    offsets = offsets.select(*(F.col(c).alias(f"{c}__") for c in place), "__before")
+    same = reduce(and_, (F.col(c).eqNullSafe(F.col(f"{c}__")) for c in place))
     return (
         placed.withColumn("__rank", rank)
-        .join(offsets, place)
+        .join(offsets, same)
         .withColumn("cycle", (F.col("__before") + F.col("__rank")).cast("int"))
-        .drop("__before", "__rank", "__period")
+        .select(*df.columns, "cycle")
     )
 
 

@@ -8,9 +8,11 @@ the sink exactly once, also after a lost executor or a restart.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -19,31 +21,62 @@ from wearline.schema import CORRUPT_FIELD, STREAM_SCHEMA
 from wearline.sources.text import with_load_time
 
 CORRUPT = CORRUPT_FIELD.name
+MISFITS = "_misfits"
 OBSERVED = "ingest"
 
 
+def _typed(field: T.StructField) -> Column:
+    """A value of the feed, or NULL if it does not fit; a whole number may be written as ``3.0``."""
+    value = F.col(f"line.{field.name}")
+    if isinstance(field.dataType, T.IntegerType):
+        number = value.try_cast("double")
+        value = F.when(number == F.floor(number), number.try_cast("int"))
+    elif isinstance(field.dataType, T.TimestampType):
+        value = F.try_to_timestamp(value)
+    else:
+        value = value.try_cast(field.dataType)
+    return value.alias(field.name)
+
+
+def _misfits() -> Column:
+    """Number of values that were given and did not fit."""
+    lost = (
+        F.when(F.col(f"line.{f.name}").isNotNull() & F.col(f.name).isNull(), 1).otherwise(0)
+        for f in STREAM_SCHEMA.fields
+    )
+    return reduce(add, lost)
+
+
 def read_stream(
     spark: SparkSession, landing: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
     """The landing directory as a stream with the fixed reading types.
 
-    A line that is not valid JSON arrives as a row with its text in
-    ``_corrupt_record`` instead of stopping the stream.
+    Every line is read as text and each field cast for itself: one mistyped
+    value becomes NULL and the rest of its reading stays. A line that is no JSON
+    object arrives as a row with its text in ``_corrupt_record``. Blank lines
+    are no lines. ``_misfits`` counts the values that were lost.
     """
-    schema = T.StructType([*STREAM_SCHEMA.fields, CORRUPT_FIELD])
-    reader = (
-        spark.readStream.schema(schema)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-    )
+    reader = spark.readStream
     if max_files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.json(landing)
+    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in STREAM_SCHEMA.fields])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    parsed = (
+        reader.text(landing)
+        .filter(F.trim("value") != "")
+        .select(F.from_json("value", T.StructType([*as_text.fields, CORRUPT_FIELD]), options).alias("line"), "value")
+    )
+    broken = F.col("line").isNull() | F.col(f"line.{CORRUPT}").isNotNull()
+    typed = parsed.select(
+        "line", *map(_typed, STREAM_SCHEMA.fields), F.when(broken, F.col("value")).alias(CORRUPT)
+    )
+    return typed.withColumn(MISFITS, F.coalesce(_misfits(), F.lit(0))).drop("line")
 
 
 def good_lines(feed: DataFrame) -> DataFrame:
     """Parsed readings; a missing id is kept and gets its status in Silver."""
-    return with_load_time(feed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT))
+    return with_load_time(feed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT, MISFITS))
 
 
 def corrupt_lines(feed: DataFrame) -> DataFrame:
@@ -72,12 +105,15 @@ def start_bronze_stream(
     off what is there and ends. Batch counts are in the query's progress under
     ``observedMetrics`` (see ``ingest_log``).
     """
-    counted = good_lines(feed).observe(
+    good = F.col(CORRUPT).isNull()
+    counted = feed.observe(
         OBSERVED,
-        F.count(F.lit(1)).alias("rows"),
-        F.count_if(F.col("engine_id").isNull() | F.col("cycle").isNull()).alias("rows_without_id"),
+        F.count_if(good).alias("rows"),
+        F.count_if(good & (F.col("engine_id").isNull() | F.col("cycle").isNull())).alias("rows_without_id"),
+        F.count_if(good & (F.col(MISFITS) > 0)).alias("rows_with_misfits"),
+        F.count_if(~good).alias("broken_lines"),
     )
-    return _start(counted, out, checkpoint, trigger or {"processingTime": "1 second"})
+    return _start(good_lines(counted), out, checkpoint, trigger or {"processingTime": "1 second"})
 
 
 def start_quarantine_stream(
@@ -87,17 +123,29 @@ def start_quarantine_stream(
     return _start(corrupt_lines(feed), out, checkpoint, trigger or {"processingTime": "1 second"})
 
 
+COUNTS = ("rows", "rows_without_id", "rows_with_misfits", "broken_lines")
+
+
 def ingest_log(query: StreamingQuery) -> list[dict[str, int]]:
-    """Rows per micro-batch, from the recent progress of the query."""
+    """Lines of the latest micro-batches, from the recent progress of the query.
+
+    Spark keeps ``spark.sql.streaming.numRecentProgressUpdates`` of them;
+    ``load_log`` has all batches.
+    """
     log = []
     for progress in query.recentProgress:
         observed = progress["observedMetrics"].get(OBSERVED)
         if observed is not None:
-            log.append(
-                {
-                    "batch": progress["batchId"],
-                    "rows": observed["rows"],
-                    "rows_without_id": observed["rows_without_id"],
-                }
-            )
+            log.append({"batch": progress["batchId"], **{name: observed[name] for name in COUNTS}})
     return log
+
+
+def load_log(bronze: DataFrame) -> DataFrame:
+    """Rows of every micro-batch that ever landed, from Bronze itself: none is forgotten.
+
+    All rows of a batch carry its time as ``load_timestamp``.
+    """
+    without_id = F.col("engine_id").isNull() | F.col("cycle").isNull()
+    return bronze.groupBy("load_timestamp").agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(without_id).alias("rows_without_id")
+    )
