@@ -113,6 +113,35 @@ def test_status_is_also_available_on_the_stream(feed):
     }
 
 
+def test_one_bad_value_does_not_lose_a_reading(feed):
+    feed.drop(
+        "a.json", line(1, 1), line(1, 2, sensor_21="worn"), line(1, 3.0), line(1, 4, emitted_at="soon"),
+        line(1, 5)[:-7], line(1, 6.5),
+    )
+    query = feed.run()
+    feed.run_quarantine()
+    rows = {r["cycle"]: r for r in layers.read_layer(feed.spark, feed.bronze).collect()}
+    assert len(rows) == 5 and rows[2]["sensor_21"] is None and rows[3]["sensor_04"] == 1.5 and rows[4]["emitted_at"] is None
+    assert rows[None]["engine_id"] == 1  # a cycle that is no whole number is missing, not rounded
+    assert layers.read_layer(feed.spark, feed.quarantine).count() == 1
+    (batch,) = [b for b in ingest.ingest_log(query) if b["rows"]]
+    assert (batch["rows"], batch["rows_with_misfits"], batch["broken_lines"]) == (5, 3, 1)
+
+
+def test_load_log_has_every_batch(feed):
+    name = "spark.sql.streaming.numRecentProgressUpdates"
+    feed.spark.conf.set(name, "2")
+    try:
+        for k in range(4):
+            feed.drop(f"{k}.json", line(1, k), line(None, k))
+        query = feed.run(max_files_per_trigger=1)
+        assert len(ingest.ingest_log(query)) <= 2
+    finally:
+        feed.spark.conf.unset(name)
+    log = ingest.load_log(layers.read_layer(feed.spark, feed.bronze)).collect()
+    assert [(r["rows"], r["rows_without_id"]) for r in log] == [(2, 1)] * 4
+
+
 def test_types_times_and_log(feed):
     feed.drop("a.json", line(1, 1, sensor_03=7), line(None, 2))
     feed.drop("b.json", line(1, 3))
