@@ -40,13 +40,22 @@ def test_split_is_per_dataset(spark):
     }
 
 
-def test_fixed_split_leaves_others_out(spark):
-    rows = split.engine_split_fixed(engines(spark, [1, 80, 81, 100, 101])).collect()
-    assert sorted((r["engine_id"], r["is_train"]) for r in rows) == [
-        (1, True), (80, True), (81, False), (100, False),
+def test_fixed_split_keeps_every_engine(spark):
+    both = engines(spark, [1, 80, 81, 100, 101]).unionByName(engines(spark, [1, 90], "FD002"))
+    rows = split.engine_split_fixed(both, dataset_id="FD001").collect()
+    assert sorted((r["dataset_id"], r["engine_id"], r["part"]) for r in rows) == [
+        ("FD001", 1, "train"), ("FD001", 80, "train"), ("FD001", 81, "test"), ("FD001", 100, "test"),
+        ("FD001", 101, "neither"), ("FD002", 1, "neither"), ("FD002", 90, "neither"),
     ]
 
 
+def test_missing_settings_are_conditions_of_their_own(spark):
+    values = [(None, 0.1), (0.1, None), (float("nan"), 0.1), (None, None), (-0.001, 0.001)]
+    df = spark.createDataFrame(values, "op_setting_1 double, op_setting_2 double")
+    labels = [r["op_cond"] for r in scaling.with_op_condition(df).collect()]
+    assert labels == ["null_0.10", "0.10_null", "nan_0.10", "null_null", "0.00_0.00"]
+
+
 def test_rows_of_listed_engines(spark):
     """Membership by list gives what the marked split gives."""
     df = engines(spark, [1, 1, 2, 3, 4, 5]).unionByName(engines(spark, [1, 9], "FD002"))

@@ -421,7 +421,8 @@ def all_oracles() -> dict[str, str]:
         + f"SELECT {_KEY}, cycle, [{', '.join(S.FEATURES)}] AS features FROM wide",
         "rul_check": f"{study} SELECT dataset_id, count(*) AS test_rows,"
         " count(DISTINCT engine_id) AS test_engines, true AS beats_mean, true AS in_range,"
-        " true AS importances_sum_to_one FROM test GROUP BY dataset_id",
+        " true AS importances_sum_to_one FROM test"
+        " WHERE dataset_id IN (SELECT dataset_id FROM train) GROUP BY dataset_id",
         "quality_report": f"{silver},{_HEALTH},{_features('rul')},{_DRIFT} {_checks()}",
         "rul_violations": f"{silver},"
         f" stepped AS (SELECT *, lag(rul) OVER (PARTITION BY {_KEY} ORDER BY cycle) AS prior"
