@@ -54,6 +54,7 @@ LEXICON_SIZE = 20_000
 MIN_TEXTS = 5
 MIN_WEIGHT = 1.5
 MIN_EVIDENCE = 30.0  # twice the log-likelihood ratio
+SENT_IDS = 1_000_000  # labelled texts up to which their ids (16 bytes each) are sent to all tasks
 BIN = 0.25
 BINS = 200
 
@@ -292,6 +293,9 @@ def _training_texts(docs: DataFrame, labels: DataFrame, folds: int) -> DataFrame
     hashed = docs.filter(outside).select("doc_id", F.xxhash64(text_of()).alias("h"), F.length(text_of()).alias("n"))
     chosen = hashed.join(known, "doc_id").groupBy("h", "n", "toxic").agg(F.min("doc_id").alias("doc_id"))
     chosen = settle(chosen.select("doc_id", "toxic"), "labelled-texts")
+    # Texts stay where they are while the chosen ids are few; beyond that both sides move by id.
+    if chosen.count() <= SENT_IDS:
+        chosen = F.broadcast(chosen)
     texts = docs.filter(outside).select("doc_id", text_of().alias("text"))
     return texts.join(chosen, "doc_id").select("text", "toxic")
 
@@ -305,7 +309,7 @@ def _lexicon(train: DataFrame, letters: np.ndarray, ones: int, zeros: int, size:
         def flushed() -> pd.DataFrame:
             names = list(set(counts[0]) | set(counts[1]))
             return pd.DataFrame(
-                {"word": names, "zeros": [counts[0][x] for x in names], "ones": [counts[1][x] for x in names]}
+                {"word": pd.Series(names, dtype=object), "zeros": [counts[0][x] for x in names], "ones": [counts[1][x] for x in names]}
             )
 
         for batch in batches:
@@ -316,7 +320,8 @@ def _lexicon(train: DataFrame, letters: np.ndarray, ones: int, zeros: int, size:
                     yield flushed()
                     counts.clear()
                     held = 0
-        yield flushed()
+        if held:
+            yield flushed()
 
     a, b = F.col("ones"), F.col("zeros")
     rate = (a + b) / F.lit(float(ones + zeros))
@@ -333,8 +338,6 @@ def _lexicon(train: DataFrame, letters: np.ndarray, ones: int, zeros: int, size:
     weight = F.log(((a + 0.5) / (ones + 1.0)) / ((b + 0.5) / (zeros + 1.0)))
     rows = (
         train.mapInPandas(count, "word string, zeros long, ones long")
-        .groupBy("word")
-        .agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
         .select(F.explode(marks).alias("feature"), "zeros", "ones")
         .groupBy("feature")
         .agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"))
