@@ -166,4 +166,32 @@ SELECT conv_id,
 FROM marked GROUP BY conv_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op5_preference_pairs": _OP5_SQL}
+
+
+def _base32_sql(hexadecimal: str) -> str:
+    """RFC 4648 signs of a hexadecimal column of 40 digits: sign k holds the bits from 5 k on."""
+
+    def sign(k: int) -> str:
+        first, shift = divmod(5 * k, 4)
+        digits = [f"(instr('0123456789abcdef', substr({hexadecimal}, {first + i + 1}, 1)) - 1)" for i in range(2)]
+        value = f"(({digits[0]} * 16 + {digits[1]}) // {2 ** (3 - shift)}) % 32"
+        return f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ({value} + 1)::INTEGER, 1)"
+
+    return " || ".join(map(sign, range(32)))
+
+
+_OP1_SQL = f"""
+WITH payloads AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+hashed AS (
+  SELECT page_id, strlen(html)::BIGINT AS payload_bytes, sha1(html) AS hex,
+    max(page_id) OVER (PARTITION BY html) AS original
+  FROM payloads
+)
+SELECT page_id, payload_bytes, {_base32_sql('hex')} AS payload_digest,
+  CASE WHEN page_id = original THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> original THEN original END AS refers_to,
+  1::INTEGER AS n_requests, 1::INTEGER AS n_metadata
+FROM hashed
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_warc_transactions": _OP1_SQL, "op5_preference_pairs": _OP5_SQL}
