@@ -364,7 +364,7 @@ def totals_column(docs_text: Column, letters: np.ndarray, weights: Mapping[str,
 def _curve(bins: Sequence[tuple[float, int, int]]) -> tuple[float, float]:
     """Slope and offset of the logistic curve through binned totals, lightly regularised."""
     x = np.array([t for t, _, _ in bins])
-    y = np.array([[one, zero] for _, zero, one in bins], float)
+    y = np.array([[one, zero] for _, zero, one in bins], float).reshape(-1, 2)
     ones, zeros = y[:, 0].sum(), y[:, 1].sum()
     if not ones or not zeros:
         share = ones / max(1.0, ones + zeros)
