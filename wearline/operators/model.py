@@ -18,9 +18,14 @@ PASS_MEMORY_MB = 2048
 
 
 def feature_vectors(
-    df: DataFrame, features: Sequence[str] = S.FEATURES, output: str = "features"
+    df: DataFrame,
+    features: Sequence[str] = S.FEATURES,
+    output: str = "features",
+    invalid: str = "error",
 ) -> DataFrame:
-    return VectorAssembler(inputCols=list(features), outputCol=output).transform(df)
+    """Features as one vector; ``invalid="skip"`` leaves out rows that lack one."""
+    assembler = VectorAssembler(inputCols=list(features), outputCol=output, handleInvalid=invalid)
+    return assembler.transform(df)
 
 
 def train_rul(

@@ -418,7 +418,8 @@ def all_oracles() -> dict[str, str]:
         f" {_rounded(f'sqrt(avg({error} * {error}))', 9)} AS rmse,"
         f" {_rounded(f'avg(abs({error}))', 9)} AS mae FROM test GROUP BY dataset_id",
         "feature_vectors": _scaled(True).removesuffix("SELECT * FROM wide")
-        + f"SELECT {_KEY}, cycle, [{', '.join(S.FEATURES)}] AS features FROM wide",
+        + f"SELECT {_KEY}, cycle, [{', '.join(S.FEATURES)}] AS features FROM wide"
+        f" WHERE {_COMPLETE}",
         "rul_check": f"{study} SELECT dataset_id, count(*) AS test_rows,"
         " count(DISTINCT engine_id) AS test_engines, true AS beats_mean, true AS in_range,"
         " true AS importances_sum_to_one FROM test"

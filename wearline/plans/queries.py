@@ -512,7 +512,7 @@ def regression_metrics(spark, sf_dir):
 
 
 def feature_vectors(spark, sf_dir):
-    vectors = model.feature_vectors(study(spark, sf_dir).scaled)
+    vectors = model.feature_vectors(study(spark, sf_dir).scaled, invalid="skip")
     # 0.0 is added to lose the sign of a rounded zero.
     values = F.transform(vector_to_array("features"), lambda x: F.round(x, ROW) + F.lit(0.0))
     return vectors.select(*S.KEY, "cycle", values.alias("features"))
