@@ -191,7 +191,10 @@ def _all_headers(name: str) -> Column:
 def read_records(spark: SparkSession, folder: str) -> DataFrame:
     """One row per record, with its headers and its block as bytes."""
     lines = spark.read.option("lineSep", SEPARATOR).text(folder)
-    text = F.regexp_replace("value", rf"^{VERSION}\r\n".replace(".", r"\."), "")
+    # Only the first record of a file still has its version line.
+    version = F.lit(VERSION + LINE)
+    text = F.when(F.startswith("value", version), F.substring("value", F.length(version) + 1, F.length("value")))
+    text = text.otherwise(F.col("value"))
     split = F.instr(F.col("text"), RECORD_END)
     parts = lines.select(text.alias("text")).filter("text <> ''").select(
         F.when(split > 0, F.expr("substring(text, 1, instr(text, '\r\n\r\n') - 1)")).otherwise(F.col("text")).alias("head"),
