@@ -79,7 +79,9 @@ def with_next(docs: DataFrame) -> DataFrame:
     blocks = settle(rows.select(F.col("block").alias("key")).distinct(), "blocks")
     follows = settle(successors(blocks), "block-order")
     first = follows.agg(F.min("key")).first()[0]
-    heads = placed.filter("place = 1").select(F.col("block").alias("next"), F.col("text").alias("head"))
+    # The first document of a block, by map-side minima: the texts stay where they are.
+    heads = rows.groupBy("block").agg(F.min(F.struct(order.alias("order"), "text")).alias("first"))
+    heads = heads.select(F.col("block").alias("next"), F.col("first.text").alias("head"))
     follows = follows.select(F.col("key").alias("block"), F.coalesce("next", F.lit(first)).alias("next"))
     heads = settle(follows.join(heads, "next").select("block", "head"), "block-heads")
     return placed.join(heads, "block", "left").select(
