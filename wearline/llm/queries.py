@@ -112,7 +112,9 @@ def op8_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every line of every document with its class, and whether it is the one of its class that stays."""
-    return fuzzy_lines.judged(fuzzy_lines.line_classes(_table(spark, sf_dir, "documents")))
+    return fuzzy_lines.judged(
+        fuzzy_lines.line_classes(_table(spark, sf_dir, "documents"), size=fuzzy_lines.QUERY_SHINGLE)
+    )
 
 
 def op10_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
