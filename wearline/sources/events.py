@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wearline.schema import BRONZE_SCHEMA, KEY, SENSORS
@@ -25,16 +25,35 @@ def finest_period(df: DataFrame, time: str = "ts", limit: int = LIMIT) -> str |
 
     None if whole series are that small. Each try is one aggregate over the key
     columns and brings one number to the driver; ordinary feeds need one try.
-    Rows of one series and one microsecond cannot be told apart by time; more of
-    them than ``limit`` are an error of the feed and are named as such.
+    Rows without a time are one period at any granularity and count for the
+    whole series only. Where even a microsecond is crowded, that is the period.
     """
     for period in (None, *PERIODS):
-        placed = df if period is None else _with_period(df, time, period)
+        placed = df if period is None else _with_period(df.filter(F.col(time).isNotNull()), time, period)
         place = KEY if period is None else (*KEY, "__period")
         rows = placed.groupBy(*place).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
         if (rows or 0) <= limit:
             return period
-    raise ValueError(f"more than {limit} rows of one series have the same time")
+    return PERIODS[-1]
+
+
+def _id_range(column: str, bits: int) -> Column:
+    return F.shiftright(F.col(column).cast("long"), bits)
+
+
+def _widest_range(crowd: DataFrame, column: str, limit: int) -> int | None:
+    """The width, as a power of two, of ranges of whole numbers with at most ``limit`` rows each.
+
+    ``crowd`` has rows that only this column orders, as (series, period). None
+    if the periods are small enough; 0 also where single numbers are not: such
+    rows are equal in the whole order.
+    """
+    for bits in (None, *range(60, -1, -4)):
+        place = [*KEY, "__period"] if bits is None else [*KEY, "__period", _id_range(column, bits)]
+        rows = crowd.groupBy(*place).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+        if (rows or 0) <= limit:
+            return bits
+    return 0
 
 
 def number_readings(
@@ -45,7 +64,9 @@ def number_readings(
     Small series are ranked by one window. Otherwise rows are ranked inside
     (series, period) and shifted by the number of rows in earlier periods,
     known from a count table, which spreads a long series over many tasks. Rows
-    without a time or an id are numbered like others, null times first.
+    without a time or an id are numbered like others, null times first. Rows of
+    one time, or without one, that are still too many are ranked inside ranges
+    of the next order column, a whole number.
     """
     period = finest_period(df, order[0], limit)
     if period is None:
@@ -53,9 +74,15 @@ def number_readings(
         return df.withColumn("cycle", rank)
     place = [*KEY, "__period"]
     placed = _with_period(df, order[0], period)
+    if len(order) > 1:
+        alone = F.lit(True) if period == PERIODS[-1] else F.col(order[0]).isNull()
+        bits = _widest_range(placed.filter(alone), order[1], limit)
+        if bits is not None:
+            placed = placed.withColumn("__range", F.when(alone, _id_range(order[1], bits)).otherwise(0))
+            place.append("__range")
     earlier = (
         Window.partitionBy(*KEY)
-        .orderBy("__period")
+        .orderBy(*place[len(KEY) :])
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     offsets = (
