@@ -5,7 +5,10 @@ letter or be dropped at an edge, a repeated letter for one or two, a separator
 between single characters for nothing or for a word break. A Viterbi search over
 the lattice, with the last two letters as state, finds the likeliest reading
 under a trigram language model of letters times the costs of the disguises.
-Words without any of this have one reading and skip the search.
+Words without any of this have one reading and skip the search. A run without a
+letter is read too if it has such signs ("@$$", "455"), and its reading counts
+if its letters are likelier than random ones, which most plain numbers' are not.
+A word that separators split is read joined as well as in parts.
 
 Model, all of it fitted here from the tables:
 
@@ -14,9 +17,8 @@ Model, all of it fitted here from the tables:
 * lexicon: for the distinct labelled texts outside the held-out fold, in how
   many texts of each label a restored word occurs, and the same summed up over
   the words that share their first 3 to 6 letters.
-  Features that lean to label 1 far beyond chance are kept, at most
-  ``lexicon_size`` of them (the size of the model; a documented parameter), best
-  first;
+  Features that lean to label 1 far beyond chance are kept, all of them unless
+  ``lexicon_size`` (a documented parameter) asks for the best ones only;
 * score: each distinct restored word adds the weight of its best feature, and a
   logistic curve with two parameters, fitted on counts of binned sums, turns the
   total into a probability.
@@ -50,7 +52,6 @@ from wearline.workspace import settle
 FOLDS = 5
 CLASSES = 28
 OTHER = 27
-LEXICON_SIZE = 20_000
 MIN_TEXTS = 5
 MIN_WEIGHT = 1.5
 MIN_EVIDENCE = 30.0  # twice the log-likelihood ratio
@@ -111,8 +112,12 @@ def letter_model(counts: np.ndarray) -> np.ndarray:
     return np.log(p3).reshape(-1)
 
 
-def lattice(text: str) -> list[list[tuple[str, float]]]:
-    """Readings of each run of equal characters, with their costs."""
+def lattice(text: str, signs: bool = False) -> list[list[tuple[str, float]]]:
+    """Readings of each run of equal characters, with their costs.
+
+    With ``signs``, every sign stands for a letter and two for two: nothing else
+    says what a text without letters is.
+    """
     runs = [(c, len(list(g))) for c, g in itertools.groupby(text)]
     found = []
     for k, (c, n) in enumerate(runs):
@@ -122,7 +127,9 @@ def lattice(text: str) -> list[list[tuple[str, float]]]:
             options = [(x, SIGN_COST) for x in letters]
             if n > 1:
                 options += [(x + x, SIGN_COST + (DOUBLE_COST if n > 2 else 0.0)) for x in letters]
-            if not c.isdigit():
+            if signs and n == 2:
+                options = options[len(letters) :]
+            if not c.isdigit() and not signs:
                 options.append(("", DROP_COST if edge else 2 * DROP_COST))
         elif c.isalpha():
             options = [(c, 0.0 if n != 2 else DOUBLE_COST)]
@@ -174,12 +181,19 @@ class Reader:
     weights: Mapping[str, float] = field(default_factory=dict)
     most: int = 200_000
     known: dict[str, tuple[str, ...]] = field(default_factory=dict)
-    scored: dict[str, bool] = field(default_factory=dict)
+    scored: dict[str, tuple[str, ...]] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         self.model = list(self.model)
         self.heads = {f[:3] for f in self.weights}
 
+    def _likely(self, reading: str) -> bool:
+        """Whether the letter model prefers a reading to random letters."""
+        classes = [0, 0, *map(_class_of, reading), 0]
+        places = ((a * CLASSES + b) * CLASSES + c for a, b, c in zip(classes, classes[1:], classes[2:]))
+        # A start edge follows nothing, so the first place is the first letter's.
+        return sum(self.model[p] for p in places) > -math.log(CLASSES) * (len(reading) + 1)
+
     def restore(self, text: str) -> str:
         return viterbi(lattice(text), self.model)
 
@@ -197,10 +211,12 @@ class Reader:
         if word.isalpha() and not _TRIPLE.search(word):
             return (word,)
         if not any(c.isalpha() for c in word):
-            return ()
+            if not any(c in LEET for c in word):
+                return ()
+            read = viterbi(lattice(word, signs=True), self.model)
+            return (read,) if len(read) > 2 and self._likely(read) else ()
         parts = [p for p in re.split(r"[^\w@$!|+€£(<]+", word) if any(c.isalpha() for c in p)]
-        readings = [self.restore(word)] if len(parts) < 2 or max(map(len, parts)) < 3 else []
-        return tuple(dict.fromkeys([*(r for r in readings if r), *(self.restore(p) for p in parts)]))
+        return tuple(dict.fromkeys(r for r in (self.restore(word), *map(self.restore, parts)) if r))
 
     def words(self, text: str) -> set[str]:
         """The distinct restored words of a text."""
@@ -221,13 +237,21 @@ class Reader:
                 best = max((self.weights.get(f, 0.0) for f in features(read)), default=0.0)
         return best
 
-    def _scored(self, chunk: str) -> bool:
-        """Whether a chunk has a word with a weight; plain words are told by their first letters."""
+    def _scored(self, chunk: str) -> tuple[str, ...]:
+        """The words of a chunk if one has a weight; plain words are told by their first letters.
+
+        Of a split word the joined reading or the parts count, whichever weigh more.
+        """
         word = chunk.strip(_EDGES)
         if len(word) > 2 and word.isalpha():
             if word[:3] not in self.heads and word[0] != word[1] != word[2]:
-                return False
-        return any(map(self.weight, self._read(chunk)))
+                return ()
+        joined, *parts = self._read(chunk) or ("",)
+        weights = [*map(self.weight, parts)]
+        whole = self.weight(joined) if joined else 0.0
+        if whole >= sum(weights):
+            return (joined,) if whole else ()
+        return tuple(parts)
 
     def total(self, text: str) -> float:
         """Sum of the weights of the distinct restored words."""
@@ -239,8 +263,7 @@ class Reader:
                 if len(scored) >= self.most:
                     scored.clear()
                 scored[chunk] = value = self._scored(chunk)
-            if value:
-                found += self._read(chunk)
+            found += value
         for match in _SPACED.finditer(text):
             found += self.restore(re.sub(r"[ .\-_*|/]", " ", match[0])).split()
         # The same order at every run, as sums of floating numbers depend on it.
@@ -300,7 +323,7 @@ def _training_texts(docs: DataFrame, labels: DataFrame, folds: int) -> DataFrame
     return texts.join(chosen, "doc_id").select("text", "toxic")
 
 
-def _lexicon(train: DataFrame, letters: np.ndarray, ones: int, zeros: int, size: int) -> dict[str, float]:
+def _lexicon(train: DataFrame, letters: np.ndarray, ones: int, zeros: int, size: int | None) -> dict[str, float]:
     def count(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         reader = Reader(letters)
         counts: dict[int, Counter] = defaultdict(Counter)
@@ -336,7 +359,7 @@ def _lexicon(train: DataFrame, letters: np.ndarray, ones: int, zeros: int, size:
         *(F.when(F.length("word") >= n, F.array(F.substring("word", 1, n))).otherwise(F.array()) for n in range(3, 7)),
     )
     weight = F.log(((a + 0.5) / (ones + 1.0)) / ((b + 0.5) / (zeros + 1.0)))
-    rows = (
+    chosen = (
         train.mapInPandas(count, "word string, zeros long, ones long")
         .select(F.explode(marks).alias("feature"), "zeros", "ones")
         .groupBy("feature")
@@ -345,9 +368,8 @@ def _lexicon(train: DataFrame, letters: np.ndarray, ones: int, zeros: int, size:
         .select("feature", evidence.alias("evidence"), weight.alias("weight"))
         .filter((F.col("weight") >= MIN_WEIGHT) & (F.col("evidence") >= MIN_EVIDENCE))
         .orderBy(F.desc("evidence"), "feature")
-        .limit(size)
-        .collect()
     )
+    rows = (chosen if size is None else chosen.limit(size)).collect()
     return {r["feature"]: r["weight"] for r in rows}
 
 
@@ -383,7 +405,7 @@ def _curve(bins: Sequence[tuple[float, int, int]]) -> tuple[float, float]:
     return float(max(w[0], 0.0)), float(w[1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, lexicon_size: int = LEXICON_SIZE) -> ToxicityModel:
+def fit(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, lexicon_size: int | None = None) -> ToxicityModel:
     letters = letter_model(_letter_counts(docs))
     train = _training_texts(docs, labels, folds)
     sizes = {r["toxic"]: r["count"] for r in train.groupBy("toxic").count().collect()}
