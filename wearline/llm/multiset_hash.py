@@ -10,11 +10,11 @@ Two kinds of lanes make up a vector:
 
 * 16 lanes modulo 2**32, the digits of the paragraph's SHA-512: equality of all
   of them is equality of the multisets but for collisions of that hash;
-* 128 lanes modulo 2**16: every run of three words of the paragraph (the whole
-  paragraph if it is shorter) adds +1 or -1 to one lane, both taken from its
-  hash. The cosine of two documents' lanes estimates the cosine of their
-  multisets of runs, with an error of about 0.09; below 0 counts as 0. This is
-  the likeness.
+* 128 lanes: every run of three words of the paragraph (the whole paragraph if
+  it is shorter) adds +1 or -1 to one lane, both taken from its hash. The cosine
+  of two documents' lanes estimates the cosine of their multisets of runs, with
+  an error of about 0.09; below 0 counts as 0. This is the likeness. It is taken
+  from the whole sums (64 bits); the fingerprint shows them modulo 2**16.
 
 Everything is built-in Spark functions. The next document in order of the id is
 found without sorting all documents in one task: documents are windowed inside
@@ -151,16 +151,15 @@ def _shown(lanes: Column, bits: int) -> Column:
     return F.array_join(F.transform(lanes, lambda x: F.lpad(F.lower(F.hex(x)), bits // 4, "0")), "")
 
 
-def _signed(lanes: Column) -> Column:
-    half = 2 ** (LIKE_BITS - 1)
-    return F.transform(lanes, lambda x: F.when(x >= half, x - 2**LIKE_BITS).otherwise(x))
+def _wrapped(lanes: Column) -> Column:
+    return F.transform(lanes, lambda x: F.pmod(x, F.lit(2**LIKE_BITS)))
 
 
 def likeness(a: Column, b: Column) -> Column:
-    """Cosine of two arrays of likeness lanes, from 0 to 1."""
+    """Cosine of two arrays of likeness lanes (whole sums), from 0 to 1."""
 
     def dot(x: Column, y: Column) -> Column:
-        products = F.zip_with(_signed(x), _signed(y), lambda p, q: (p * q).cast("double"))
+        products = F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double"))
         return F.aggregate(products, F.lit(0.0), lambda total, p: total + p)
 
     size = dot(a, a) * dot(b, b)
@@ -169,7 +168,7 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def like_lanes(rows: DataFrame, key: list[str], sides: dict[str, str]) -> DataFrame:
-    """Likeness lanes of several text columns: ``key`` and one array per side.
+    """Likeness lanes (whole sums) of several text columns: ``key`` and one array per side.
 
     Runs are added up per (row, side, lane). If the rows lie by a part of the
     key already, no row moves.
@@ -191,11 +190,10 @@ def like_lanes(rows: DataFrame, key: list[str], sides: dict[str, str]) -> DataFr
     found = summed.groupBy(*key).agg(F.map_from_entries(F.collect_list(entry)).alias("sums"))
 
     def array_of(k: int) -> Column:
-        values = F.transform(
+        return F.transform(
             F.sequence(F.lit(k * LIKE_LANES), F.lit((k + 1) * LIKE_LANES - 1)),
             lambda i: F.coalesce(F.try_element_at("sums", i), F.lit(0).cast("long")),
         )
-        return F.transform(values, lambda v: F.pmod(v, F.lit(2**LIKE_BITS)))
 
     return found.select(*key, *(array_of(k).alias(name) for k, name in enumerate(sides)))
 
@@ -221,8 +219,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         "doc_id",
         "n_chars",
         "edited_sha256",
-        F.concat(_shown(F.col("exact"), EXACT_BITS), _shown(F.col("own"), LIKE_BITS)).alias("fingerprint"),
-        F.concat(_shown(F.col("exact_edited"), EXACT_BITS), _shown(F.col("other"), LIKE_BITS)).alias(
+        F.concat(_shown(F.col("exact"), EXACT_BITS), _shown(_wrapped(F.col("own")), LIKE_BITS)).alias("fingerprint"),
+        F.concat(_shown(F.col("exact_edited"), EXACT_BITS), _shown(_wrapped(F.col("other")), LIKE_BITS)).alias(
             "edited_fingerprint"
         ),
         likeness(F.col("own"), F.col("other")).alias("near_edited"),
