@@ -9,8 +9,9 @@ Archives are gzip files written by Spark's text writer: every task writes a
 whole file or none, to any store that Spark writes. A record ends with two line
 ends, so that is the writer's line separator. The reader splits at the same
 place before ``WARC/1.1``, which keeps memory to one record whatever the size of
-a file. No payload may hold that separator: one that does is sent in chunked
-transfer coding with a chunk border inside each occurrence, and decoded again.
+a file. No payload may hold that separator, alone or with the line ends around
+it: one that does is sent in chunked transfer coding with a chunk border inside
+each occurrence, and decoded again.
 ``Content-Length`` cuts the block of a record. In archives from elsewhere a
 payload may hold the separator; the record's block is then shorter than stated
 and ``complete`` is false.
@@ -71,9 +72,12 @@ def _chunk(data: Column) -> Column:
 
 
 def _chunked(payload: Column) -> Column:
-    """Chunked transfer coding, cut inside the version mark of every separator."""
-    head, tail = VERSION[:4], VERSION[4:]
-    parts = F.split(payload, f"(?<=\\r\\n\\r\\n{head})(?={tail}\\r\\n)".replace(".", "\\."))
+    """Chunked transfer coding, cut inside the version mark of every separator.
+
+    At its start and end a payload meets line ends of the record.
+    """
+    head, tail = VERSION[:4], VERSION[4:].replace(".", "\\.")
+    parts = F.split(payload, f"(?<=(?:\\A|\\A\\r\\n|\\r\\n\\r\\n){head})(?={tail}(?:\\r\\n|\\z))")
     return F.concat(F.array_join(F.transform(parts, _chunk), ""), F.lit(f"0{RECORD_END}"))
 
 
@@ -119,7 +123,7 @@ def records(pages: DataFrame, date: str = "2024-01-01T00:00:00Z", least_bytes: i
 
     is_revisit = F.col("original").isNotNull() & (own != first)
     response_id = identifier("capture", own)
-    has_separator = F.instr(F.col("payload"), SEPARATOR) > 0
+    has_separator = F.instr(F.concat(F.lit(RECORD_END), "payload", F.lit(RECORD_END)), SEPARATOR) > 0
     digest = F.concat(F.lit("sha1:"), F.col("digest"))
     kind = F.when(is_revisit, "revisit").otherwise("response")
     coding = F.when(has_separator & ~is_revisit, "chunked")
