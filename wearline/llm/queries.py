@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearline.llm import bitpack, context_tree, deobfuscate, fuzzy_lines, lsh_forest, multiset_hash, pieces, preference, tiling, warc
+from wearline.llm import bitpack, collocations, context_tree, deobfuscate, fuzzy_lines, lsh_forest, multiset_hash, pieces, preference, tiling, warc
+from wearline.llm.collocations_sql import collocations_sql
 from wearline.workspace import new_folder
 
 
@@ -122,6 +123,11 @@ def op10_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return multiset_hash.fingerprints(_table(spark, sf_dir, "documents"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best phrases of each language, from the marginals of all longest windows."""
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_transactions": op1_warc_transactions,
     "op2_context_tree_scores": op2_context_tree_scores,
@@ -133,6 +139,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_string_tiling": op8_string_tiling,
     "op9_fuzzy_lines": op9_fuzzy_lines,
     "op10_multiset_fingerprint": op10_multiset_fingerprint,
+    "op11_collocations": op11_collocations,
 }
 
 _OP5_SQL = """
@@ -196,4 +203,8 @@ SELECT page_id, payload_bytes, {_base32_sql('hex')} AS payload_digest,
 FROM hashed
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_warc_transactions": _OP1_SQL, "op5_preference_pairs": _OP5_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op1_warc_transactions": _OP1_SQL,
+    "op5_preference_pairs": _OP5_SQL,
+    "op11_collocations": collocations_sql(),
+}
