@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearline.llm import bitpack, collocations, context_tree, deobfuscate, fuzzy_lines, lsh_forest, multiset_hash, pieces, preference, tiling, warc
+from wearline.llm import bitpack, collocations, context_tree, deobfuscate, fuzzy_lines, lsh_forest, multiset_hash, pieces, preference, tiling, url_filter, warc
 from wearline.llm.collocations_sql import collocations_sql
 from wearline.workspace import new_folder
 
@@ -128,6 +128,12 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(_table(spark, sf_dir, "documents"))
 
 
+def op12_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's host, path, rule and verdict, from cascades of Bloom filters."""
+    rules, sites = url_filter.rule_table(spark), url_filter.site_table(spark)
+    return url_filter.judge(_table(spark, sf_dir, "pages"), rules, sites)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_transactions": op1_warc_transactions,
     "op2_context_tree_scores": op2_context_tree_scores,
@@ -140,6 +146,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_fuzzy_lines": op9_fuzzy_lines,
     "op10_multiset_fingerprint": op10_multiset_fingerprint,
     "op11_collocations": op11_collocations,
+    "op12_bloom_cascade": op12_bloom_cascade,
 }
 
 _OP5_SQL = """
@@ -203,8 +210,36 @@ SELECT page_id, payload_bytes, {_base32_sql('hex')} AS payload_digest,
 FROM hashed
 """
 
+def _values(rows) -> str:
+    return ", ".join("(" + ", ".join(f"'{v}'" for v in row) + ")" for row in rows)
+
+
+_OP12_SQL = f"""
+WITH rests AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+),
+parsed AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM rests
+),
+rules(h, p, v) AS (VALUES {_values(url_filter.RULES)}),
+sites(s) AS (VALUES {_values((s,) for s in url_filter.SITES)}),
+ruled AS (
+  SELECT page_id, host, path,
+    (SELECT max_by(struct_pack(rule := h || p, verdict := v), length(h || p)) FROM rules
+     WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)) AS found,
+    EXISTS (SELECT 1 FROM sites WHERE host = s OR ends_with(host, '.' || s)) AS listed
+  FROM parsed
+)
+SELECT page_id, host, path, found.rule AS rule,
+  coalesce(found.verdict, CASE WHEN listed THEN 'block' ELSE 'allow' END) AS verdict
+FROM ruled
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_warc_transactions": _OP1_SQL,
     "op5_preference_pairs": _OP5_SQL,
     "op11_collocations": collocations_sql(),
+    "op12_bloom_cascade": _OP12_SQL,
 }
