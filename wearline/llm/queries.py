@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wearline.llm import bitpack, collocations, context_tree, deobfuscate, fuzzy_lines, lsh_forest, multiset_hash, pieces, preference, tiling, url_filter, warc
+from wearline.llm import bitpack, collocations, context_tree, deobfuscate, fuzzy_lines, lsh_forest, multiset_hash, pieces, preference, tiling, token_alignment, url_filter, warc
 from wearline.llm.collocations_sql import collocations_sql
 from wearline.workspace import new_folder
 
@@ -134,6 +134,13 @@ def op12_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(_table(spark, sf_dir, "pages"), rules, sites)
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens of two vocabularies against each other, and how common its links are."""
+    files = vocabulary_file("byte_bpe_50k.json"), vocabulary_file("piece_bpe_32k.model")
+    found = token_alignment.link_scores(_table(spark, sf_dir, "documents"), *files)
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_transactions": op1_warc_transactions,
     "op2_context_tree_scores": op2_context_tree_scores,
@@ -147,6 +154,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_multiset_fingerprint": op10_multiset_fingerprint,
     "op11_collocations": op11_collocations,
     "op12_bloom_cascade": op12_bloom_cascade,
+    "op13_token_alignment": op13_token_alignment,
 }
 
 _OP5_SQL = """
