@@ -8,12 +8,14 @@ prefixes, and a prefix without padding is a phrase with all its occurrences. The
 sum over all windows of a language is its number of words.
 
 Windows end early where that changes no answer. A first pass adds up words and
-neighbouring pairs in buckets of their hash; a bucket that stays below the least
-count holds no frequent word or pair, so no frequent phrase reaches across it, and
-the window is padded from there on. Collisions only make windows longer. The
-buckets that reach the count are one bitmap of at most 2**30 bits (128 MB),
-whatever the corpus; their number follows the bytes of text up to that bound, and
-beyond it windows are longer but the counts the same.
+neighbouring pairs in buckets of their hash, a second one the longer prefixes of
+windows whose pairs all fell into buckets with the least count. What falls into a
+lower bucket is rare for certain, no frequent phrase begins so, and the window is
+padded from there on: what remains are the windows that phrases are made of.
+Collisions only make windows longer. The buckets that reach the count are two
+bitmaps of at most 2**30 bits (128 MB) each, whatever the corpus; their size follows
+the bytes of text up to that bound, and beyond it windows are longer but the counts
+the same.
 
 Of each language's phrases of 2 to 5 words with at least ``least`` occurrences:
 the score of a cut is ``floor(1000 * a * n / (l * r))`` in decimals of 38 digits; the
@@ -21,7 +23,7 @@ lowest cut counts (ties: the first); a phrase goes if a longer candidate that
 contains it has at least ``share`` percent of its count; the best ``first`` of each
 language are ranked by score, count and the phrase's bytes.
 
-Tasks work on blocks of about 4 MB of text: a longer text is cut between its
+Tasks work on blocks of about 2 MB of text: a longer text is cut between its
 pieces, where no window passes. Hot words and phrases leave a task as one row.
 
 Edge cases: null texts are empty; a null language is ``und`` and one with a
@@ -32,7 +34,7 @@ Only A-Z are lower-cased. Other columns are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -47,7 +49,7 @@ LONGEST = 5
 LEAST = 100
 SHARE = 100
 FIRST = 2_000
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 2_000_000
 MOST_BITS = 30
 RANKED = 100_000  # rows that one task may rank
 WORDS = [f"w{k}" for k in range(1, LONGEST + 1)]
@@ -103,12 +105,35 @@ def _bucket(hashes: np.ndarray, bits: int) -> np.ndarray:
     return ((hashes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _buckets(words: list[bytes], codes: np.ndarray, lang: str, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Buckets of the different words, places where a pair begins, and the buckets of these pairs."""
+def _kept(bitmap: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+    return (bitmap[buckets >> 3] >> (buckets & 7)) & 1 == 1
+
+
+def _prefixes(words: list[bytes], codes: np.ndarray, lang: str, bits: int, known: list[np.ndarray]):
+    """For sizes 1 to ``LONGEST``: the last word's numbers, where the prefix is open, and its buckets.
+
+    One row per word of the text, as the head of its window. A prefix is open
+    while its piece goes on and no bitmap of ``known`` (sizes 1 and 2, then the
+    others) says that it, or a pair inside it, is rare.
+    """
     hashes = _hashes(words, lang)
-    pairs = np.flatnonzero((codes[:-1] > 0) & (codes[1:] > 0))
-    left, right = hashes[codes[pairs]], hashes[codes[pairs + 1]]
-    return _bucket(hashes, bits), pairs, _bucket(left * np.uint64(0xD6E8FEB86659FD93) + right, bits)
+    heads = np.flatnonzero(codes > 0)
+    padded = np.concatenate([codes, np.zeros(LONGEST, np.int64)])
+    joins = np.ones(len(padded), bool)  # whether a word and the next may stand in one window
+    prefix, open_ = np.zeros(len(heads), np.uint64), np.ones(len(heads), bool)
+    for size in range(1, LONGEST + 1):
+        last = padded[heads + size - 1]
+        prefix = prefix * np.uint64(0xD6E8FEB86659FD93) + hashes[last]
+        buckets = _bucket(prefix, bits)
+        open_ = open_ & (last > 0)
+        if size > 2:
+            open_ = open_ & joins[heads + size - 2]
+        if len(known) > (size > 2):
+            kept = _kept(known[size > 2], buckets)
+            open_ = open_ & kept
+            if size == 2:
+                joins[heads] = kept
+        yield last, open_, buckets
 
 
 # --- frequent buckets ------------------------------------------------------
@@ -124,14 +149,21 @@ def bucket_bits(rows: DataFrame) -> int:
     return min(MOST_BITS, max(16, (size // 16).bit_length()))
 
 
-def frequent_buckets(rows: DataFrame, least: int, bits: int, block: int = BLOCK_BYTES) -> np.ndarray:
-    """Bitmap, lowest bit first, of the buckets whose words and pairs occur ``least`` times together."""
+def frequent_buckets(
+    rows: DataFrame, least: int, bits: int, known: Sequence[np.ndarray] = (), block: int = BLOCK_BYTES
+) -> np.ndarray:
+    """Bitmap, lowest bit first, of the buckets whose prefixes occur ``least`` times together.
+
+    Without ``known`` those of one and two words, with that bitmap the longer ones.
+    """
+    sent = rows.sparkSession.sparkContext.broadcast(list(known))
 
     def count(batches):
         for lang, data in _blocks(batches, block):
             words, codes = _coded(data)
-            of_word, _, of_pair = _buckets(words, codes, lang, bits)
-            found, n = np.unique(np.concatenate([of_word[codes[codes > 0]], of_pair]), return_counts=True)
+            prefixes = list(_prefixes(words, codes, lang, bits, sent.value))
+            chosen = prefixes[2:] if sent.value else prefixes[:2]
+            found, n = np.unique(np.concatenate([b[open_] for _, open_, b in chosen]), return_counts=True)
             yield pa.record_batch({"bucket": found, "n": n.astype(np.int64)})
 
     counts = rows.mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
@@ -149,10 +181,6 @@ def frequent_buckets(rows: DataFrame, least: int, bits: int, block: int = BLOCK_
     return bitmap
 
 
-def _kept(bitmap: np.ndarray, buckets: np.ndarray) -> np.ndarray:
-    return (bitmap[buckets >> 3] >> (buckets & 7)) & 1 == 1
-
-
 # --- windows and their prefixes --------------------------------------------
 
 
@@ -165,27 +193,17 @@ def _distinct(columns: list[np.ndarray], size: int) -> tuple[list[np.ndarray], n
     return [column[first] for column in columns], n
 
 
-def windows(rows: DataFrame, bitmap: np.ndarray, bits: int, block: int = BLOCK_BYTES) -> DataFrame:
+def windows(rows: DataFrame, known: Sequence[np.ndarray], bits: int, block: int = BLOCK_BYTES) -> DataFrame:
     """Padded longest windows, counted inside blocks of text: ``lang``, ``w1`` ... ``w5``, ``n``."""
-    sent = rows.sparkSession.sparkContext.broadcast(bitmap)
+    sent = rows.sparkSession.sparkContext.broadcast(list(known))
     schema = ", ".join(["lang string", *(f"{w} string" for w in WORDS), "n long"])
 
     def count(batches):
-        kept = sent.value
         for lang, data in _blocks(batches, block):
             words, codes = _coded(data)
-            of_word, pairs, of_pair = _buckets(words, codes, lang, bits)
-            known = _kept(kept, of_word)
-            goes_on = np.zeros(len(codes) + LONGEST, bool)
-            goes_on[pairs] = _kept(kept, of_pair) & known[codes[pairs]] & known[codes[pairs + 1]]
-            heads = np.flatnonzero(codes > 0)
-            padded = np.concatenate([codes, np.zeros(LONGEST, np.int64)])
-            open_ = known[codes[heads]]
-            columns = []
-            for k in range(LONGEST):  # number 0 stands for padding from here on
-                columns.append(np.where(open_, padded[heads + k], 0))
-                open_ = open_ & goes_on[heads + k]
-            if not len(heads):
+            # Number 0 stands for padding.
+            columns = [np.where(o, last, 0) for last, o, _ in _prefixes(words, codes, lang, bits, sent.value)]
+            if not len(columns[0]):
                 continue
             columns, n = _distinct(columns, len(words))
             shown = pa.array([b"", *words[1:]], pa.binary()).cast(pa.string())
@@ -273,8 +291,10 @@ def collocations(
     """``lang``, ``rank``, ``phrase``, ``a``, ``l``, ``r``, ``n``, ``score`` of each language's best phrases."""
     rows = _prepared(docs)
     bits = bits or bucket_bits(rows)
-    bitmap = frequent_buckets(rows, least, bits, block)
-    found = settle(marginals(windows(rows, bitmap, bits, block), least), "phrases")
+    known: list[np.ndarray] = []
+    for _ in range(2):
+        known.append(frequent_buckets(rows, least, bits, known, block))
+    found = settle(marginals(windows(rows, known, bits, block), least), "phrases")
     totals = settle(found.filter("size = 0").select("lang", F.col("f").alias("n")), "totals")
     best = settle(without_contained(settle(scored(found, totals), "scored"), share), "candidates")
     return ranked(best, first).select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
