@@ -21,6 +21,19 @@ def score_columns(sensor: str) -> list[str]:
     return [sensor, *(f"{name}_{part}" for part in ("rolling_mean", "rolling_std", "zscore", "anomaly"))]
 
 
+def with_scores(
+    frames: DataFrame, sensors: Sequence[str], threshold: float = 2.0, flag_digits: int = 9
+) -> DataFrame:
+    """Score and flag from each sensor's rolling mean and deviation; row-local, so also on a stream."""
+    for sensor in sensors:
+        _, mean, deviation, zscore, anomaly = score_columns(sensor)
+        distance = F.try_divide(F.col(sensor) - F.col(mean), F.col(deviation))
+        frames = frames.withColumn(
+            zscore, F.when(F.col(deviation) > 0, distance).otherwise(0.0)
+        ).withColumn(anomaly, F.abs(F.round(zscore, flag_digits)) > threshold)
+    return frames
+
+
 def score_table(
     sensors: Sequence[str] = SCORED_SENSORS,
     window: int = 20,
@@ -37,19 +50,13 @@ def score_table(
     """
     columns = {}
     for sensor in sensors:
-        _, mean, deviation, _, _ = score_columns(sensor)
+        _, mean, deviation, *_ = score_columns(sensor)
         columns[mean] = lambda w, s=sensor: F.avg(s).over(trailing(w, window))
         columns[deviation] = lambda w, s=sensor: F.stddev_samp(s).over(trailing(w, window))
 
     def show(frames: DataFrame) -> DataFrame:
-        for sensor in sensors:
-            _, mean, deviation, zscore, anomaly = score_columns(sensor)
-            distance = F.try_divide(F.col(sensor) - F.col(mean), F.col(deviation))
-            frames = frames.withColumn(
-                zscore, F.when(F.col(deviation) > 0, distance).otherwise(0.0)
-            ).withColumn(anomaly, F.abs(F.round(zscore, flag_digits)) > threshold)
         order = [c for sensor in sensors for c in score_columns(sensor)]
-        return frames.select(*S.KEY, "cycle", "rul", *order)
+        return with_scores(frames, sensors, threshold, flag_digits).select(*S.KEY, "cycle", "rul", *order)
 
     return FrameTable(("rul", *sensors), columns, window - 1, show)
 

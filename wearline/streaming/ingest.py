@@ -86,14 +86,14 @@ def corrupt_lines(feed: DataFrame) -> DataFrame:
     )
 
 
-def _start(df: DataFrame, out: str, checkpoint: str, trigger: dict[str, Any]) -> StreamingQuery:
-    return (
-        df.writeStream.format("parquet")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start(out)
-    )
+def start_sink(
+    df: DataFrame, out: str, checkpoint: str, trigger: dict[str, Any] | None = None, by: str | None = None
+) -> StreamingQuery:
+    """Append a stream to a Parquet folder, exactly once per checkpoint; polls every second by default."""
+    writer = df.writeStream.format("parquet").outputMode("append").option("checkpointLocation", checkpoint)
+    if by is not None:
+        writer = writer.partitionBy(by)
+    return writer.trigger(**(trigger or {"processingTime": "1 second"})).start(out)
 
 
 def start_bronze_stream(
@@ -113,14 +113,14 @@ def start_bronze_stream(
         F.count_if(good & (F.col(MISFITS) > 0)).alias("rows_with_misfits"),
         F.count_if(~good).alias("broken_lines"),
     )
-    return _start(good_lines(counted), out, checkpoint, trigger or {"processingTime": "1 second"})
+    return start_sink(good_lines(counted), out, checkpoint, trigger)
 
 
 def start_quarantine_stream(
     feed: DataFrame, out: str, checkpoint: str, trigger: dict[str, Any] | None = None
 ) -> StreamingQuery:
     """Keep unparsable lines beside Bronze, as a second query with its own checkpoint."""
-    return _start(corrupt_lines(feed), out, checkpoint, trigger or {"processingTime": "1 second"})
+    return start_sink(corrupt_lines(feed), out, checkpoint, trigger)
 
 
 COUNTS = ("rows", "rows_without_id", "rows_with_misfits", "broken_lines")
@@ -149,3 +149,68 @@ def load_log(bronze: DataFrame) -> DataFrame:
     return bronze.groupBy("load_timestamp").agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(without_id).alias("rows_without_id")
     )
+
+
+# --- one sink for whole and broken lines -------------------------------------
+
+BROKEN = "broken"
+LANDED_SCHEMA = T.StructType(
+    [
+        *STREAM_SCHEMA.fields,
+        CORRUPT_FIELD,
+        T.StructField(MISFITS, T.IntegerType()),
+        T.StructField("load_timestamp", T.TimestampType()),
+        T.StructField(BROKEN, T.BooleanType()),
+    ]
+)
+
+
+def start_landing_stream(
+    feed: DataFrame, out: str, checkpoint: str, trigger: dict[str, Any] | None = None
+) -> StreamingQuery:
+    """Append every line of the feed, whole or broken, to one folder: one query, one checkpoint.
+
+    The folder is partitioned by ``broken``, so a reader of readings never opens
+    the files of broken lines. Each row keeps the number of its lost values and,
+    as ``load_timestamp``, its micro-batch. No second query has to run for a
+    broken line to survive.
+    """
+    landed = with_load_time(feed).withColumn(BROKEN, F.col(CORRUPT).isNotNull())
+    return start_sink(landed, out, checkpoint, trigger, by=BROKEN)
+
+
+def read_landed(spark: SparkSession, out: str) -> DataFrame:
+    """All lines that ever landed."""
+    return spark.read.schema(LANDED_SCHEMA).parquet(out)
+
+
+def stream_landed(spark: SparkSession, out: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The landed lines as the stream of a second hop; the sink's own log says which files count."""
+    reader = spark.readStream.schema(LANDED_SCHEMA)
+    if max_files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.parquet(out)
+
+
+def readings_of(landed: DataFrame) -> DataFrame:
+    """Bronze readings of landed lines, batch or stream."""
+    return landed.filter(~F.col(BROKEN)).drop(CORRUPT, MISFITS, BROKEN)
+
+
+def broken_of(landed: DataFrame) -> DataFrame:
+    """Broken lines of landed ones, with the dataset if it was readable."""
+    return landed.filter(BROKEN).select("dataset_id", CORRUPT, "load_timestamp")
+
+
+def landing_log(landed: DataFrame) -> DataFrame:
+    """Rows, rows without id, rows with misfits and broken lines of every micro-batch that ever landed.
+
+    An aggregate over the sink: nothing depends on how long progress reports are kept.
+    """
+    good = ~F.col(BROKEN)
+    return landed.groupBy("load_timestamp").agg(
+        F.count_if(good).alias("rows"),
+        F.count_if(good & (F.col("engine_id").isNull() | F.col("cycle").isNull())).alias("rows_without_id"),
+        F.count_if(good & (F.col(MISFITS) > 0)).alias("rows_with_misfits"),
+        F.count_if(BROKEN).alias("broken_lines"),
+    )
