@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from wearline import schema as S
 from wearline.operators.series import TIES
-from wearline.plans import stream_queries
+from wearline.plans import load_queries, stream_queries
 
 READING = [f.name for f in S.READING_SCHEMA.fields]
 _KEY = "dataset_id, engine_id"
@@ -458,5 +458,6 @@ def all_oracles() -> dict[str, str]:
         bodies[f"silver_status_{name}"] = (
             f"{bronze} SELECT {_KEY}, cycle, {rule} AS status FROM bronze"
         )
+    bodies |= load_queries.oracle_sql(bodies, silver)
     bodies |= stream_queries.oracle_sql(bronze, silver, _scores(), _STATUS["full"])
     return {name: f"WITH {body.strip()}" for name, body in bodies.items()}

@@ -25,7 +25,7 @@ from wearline.operators import (
     split,
     validation,
 )
-from wearline.plans import stream_queries
+from wearline.plans import load_queries, stream_queries
 from wearline.plans.medallion import Medallion, layers_of, model_views
 from wearline.plans.study import Study
 from wearline.workspace import new_folder
@@ -606,4 +606,4 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     written["gold_written_rolling_averages"] = _written_rolling
     rolling = {f"rolling_averages_{name}": _rolling_by(span) for name, span in spans.items()}
     listed = {query.__name__: query for query in plain}
-    return listed | statuses | written | rolling | stream_queries.QUERIES
+    return listed | statuses | written | rolling | stream_queries.QUERIES | load_queries.QUERIES
