@@ -7,11 +7,11 @@ where its piece of text ends. No shorter phrase is ever formed from the text:
 prefixes, and a prefix without padding is a phrase with all its occurrences. The
 sum over all windows of a language is its number of words.
 
-Windows end early where that changes no answer. A first pass adds up words and
-neighbouring pairs in buckets of their hash, a second one the longer prefixes of
-windows whose pairs all fell into buckets with the least count. What falls into a
-lower bucket is rare for certain, no frequent phrase begins so, and the window is
-padded from there on: what remains are the windows that phrases are made of.
+Windows end early where that changes no answer. A first pass adds up neighbouring
+pairs in buckets of their hash, a second one the longer prefixes of windows whose
+pairs all fell into buckets with the least count. What falls into a lower bucket is
+rare for certain, no frequent phrase begins so, and the window is padded from there
+on: beyond single words, what remains are the windows that phrases are made of.
 Collisions only make windows longer. The buckets that reach the count are two
 bitmaps of at most 2**30 bits (128 MB) each, whatever the corpus; their size follows
 the bytes of text up to that bound, and beyond it windows are longer but the counts
@@ -113,8 +113,8 @@ def _prefixes(words: list[bytes], codes: np.ndarray, lang: str, bits: int, known
     """For sizes 1 to ``LONGEST``: the last word's numbers, where the prefix is open, and its buckets.
 
     One row per word of the text, as the head of its window. A prefix is open
-    while its piece goes on and no bitmap of ``known`` (sizes 1 and 2, then the
-    others) says that it, or a pair inside it, is rare.
+    while its piece goes on and no bitmap of ``known`` (of pairs, then of longer
+    prefixes) says that it, or a pair inside it, is rare.
     """
     hashes = _hashes(words, lang)
     heads = np.flatnonzero(codes > 0)
@@ -128,7 +128,7 @@ def _prefixes(words: list[bytes], codes: np.ndarray, lang: str, bits: int, known
         open_ = open_ & (last > 0)
         if size > 2:
             open_ = open_ & joins[heads + size - 2]
-        if len(known) > (size > 2):
+        if size > 1 and len(known) > (size > 2):
             kept = _kept(known[size > 2], buckets)
             open_ = open_ & kept
             if size == 2:
@@ -154,7 +154,7 @@ def frequent_buckets(
 ) -> np.ndarray:
     """Bitmap, lowest bit first, of the buckets whose prefixes occur ``least`` times together.
 
-    Without ``known`` those of one and two words, with that bitmap the longer ones.
+    Without ``known`` those of two words, with that bitmap the longer ones.
     """
     sent = rows.sparkSession.sparkContext.broadcast(list(known))
 
@@ -162,7 +162,7 @@ def frequent_buckets(
         for lang, data in _blocks(batches, block):
             words, codes = _coded(data)
             prefixes = list(_prefixes(words, codes, lang, bits, sent.value))
-            chosen = prefixes[2:] if sent.value else prefixes[:2]
+            chosen = prefixes[2:] if sent.value else prefixes[1:2]
             found, n = np.unique(np.concatenate([b[open_] for _, open_, b in chosen]), return_counts=True)
             yield pa.record_batch({"bucket": found, "n": n.astype(np.int64)})
 
@@ -221,9 +221,9 @@ def marginals(found: DataFrame, least: int) -> DataFrame:
         [[F.col(c) for c in one] for one in sets], "lang", *WORDS
     ).agg(size.cast("int").alias("size"), F.sum("n").alias("f"))
     last = F.get(F.array(*WORDS), F.col("size") - 1)
-    return summed.filter(
-        (F.col("size") == 0) | ((F.col("f") >= least) & (last != ""))
-    ).select("lang", "size", F.concat_ws(" ", *WORDS).alias("phrase"), "f")
+    # Prefixes that end in padding: a filter on grouping columns, so Spark drops them before anything is summed.
+    phrases = summed.filter((F.col("size") == 0) | (last != ""))
+    return phrases.filter(F.col("f") >= F.when(F.col("size") == 0, 0).otherwise(least)).select("lang", "size", F.concat_ws(" ", *WORDS).alias("phrase"), "f")
 
 
 # --- scores ----------------------------------------------------------------
