@@ -6,12 +6,11 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
-from pyspark.ml.regression import RandomForestRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wearline import schema as S
-from wearline.operators import model, scaling, split
+from wearline.operators import model, scaling, split, trees
 from wearline.plans.medallion import Medallion
 from wearline.workspace import new_folder, settle
 from wearline.sources import layers
@@ -116,26 +115,39 @@ class Study:
         )
 
     @cached_property
-    def models(self) -> dict[str, RandomForestRegressionModel]:
-        """One forest per dataset: each fit is distributed, a few run side by side."""
-        def fit(dataset: str) -> RandomForestRegressionModel:
-            return model.train_rul(self._part(dataset, True), self.features, **self.forest)
+    def forests(self) -> DataFrame:
+        """The number of each dataset's forest, for datasets with train engines."""
+        rows = list(zip(self.datasets, range(len(self.datasets))))
+        return settle(self.tables.spark.createDataFrame(rows, "dataset_id string, forest int"), "forests")
 
-        datasets = self.datasets
+    @cached_property
+    def nodes(self) -> DataFrame:
+        """The fitted trees of all datasets as one table (see ``operators.trees``).
+
+        Each fit is distributed and a few run side by side; a fitted forest is
+        written to the shared folder and let go.
+        """
+        spark, folder = self.tables.spark, new_folder(self.tables.spark, "forests")
         self.scaled_table  # written before the fits share it
+
+        def fit(number: int, dataset: str) -> DataFrame:
+            forest = model.train_rul(self._part(dataset, True), self.features, **self.forest)
+            forest.write().save(f"{folder}/{number}")
+            return trees.node_table(spark.read.parquet(f"{folder}/{number}/data"), number)
+
         with ThreadPoolExecutor(self.parallelism) as pool:
-            return dict(zip(datasets, pool.map(fit, datasets)))
+            found = list(pool.map(fit, range(len(self.datasets)), self.datasets))
+        none = spark.createDataFrame([], trees.NODE_SCHEMA)
+        return settle(layers.union_datasets(none, *found), "nodes")
 
     @property
     def predictions(self) -> DataFrame:
-        """Actual and predicted life of the test rows of every dataset."""
-        parts = [
-            model.predict(m, self._part(d, False), self.features) for d, m in self.models.items()
-        ]
-        first, *rest = parts
-        for part in rest:
-            first = first.unionByName(part)
-        return first
+        """Actual and predicted life of the test rows of every dataset, in one plan."""
+        settings = {**model.FOREST, **self.forest}
+        return trees.predict(
+            self.scaled_table.filter("NOT is_train"), self.forests, self.nodes,
+            settings["numTrees"], settings["maxDepth"], self.features,
+        )
 
     @property
     def results(self) -> DataFrame:
@@ -143,4 +155,4 @@ class Study:
 
     @property
     def importance(self) -> DataFrame:
-        return model.feature_importance(self.tables.spark, self.models, self.features)
+        return trees.importance(self.forests, self.nodes, self.features)
