@@ -192,7 +192,7 @@ def test_entry(spark):
     assert set(entry.oracle_sql()) <= set(entry.queries())
     only_rows = set(entry.queries()) - set(entry.oracle_sql())
     own = {name for name in only_rows if name in Q.all_queries()}
-    assert own == {"rul_predictions", "rul_results", "feature_importance"}
+    assert own == {"rul_predictions", "rul_results", "rul_against_mean", "feature_importance"}
 
 
 @pytest.mark.parametrize("name", sorted(entry.oracle_sql()))

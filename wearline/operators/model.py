@@ -6,10 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wearline import schema as S
+from wearline.functions import expressions as X
 
 # The forest of the baseline model.
 FOREST = {"numTrees": 100, "maxDepth": 12, "minInstancesPerNode": 5, "seed": 42}
@@ -23,9 +24,18 @@ def feature_vectors(
     output: str = "features",
     invalid: str = "error",
 ) -> DataFrame:
-    """Features as one vector; ``invalid="skip"`` leaves out rows that lack one."""
-    assembler = VectorAssembler(inputCols=list(features), outputCol=output, handleInvalid=invalid)
-    return assembler.transform(df)
+    """Features as one vector.
+
+    Of rows that lack one, ``invalid="skip"`` leaves them out and ``"null"``
+    keeps them without a vector.
+    """
+    kept = "keep" if invalid == "null" else invalid
+    assembler = VectorAssembler(inputCols=list(features), outputCol=output, handleInvalid=kept)
+    vectors = assembler.transform(df)
+    if invalid != "null":
+        return vectors
+    lacking = X.any_null(features) | X.any_nan(features)
+    return vectors.withColumn(output, F.when(~lacking, F.col(output)))
 
 
 def train_rul(
@@ -72,3 +82,18 @@ def evaluate(
         shown(F.sqrt(F.avg(error * error))).alias("rmse"),
         shown(F.avg(F.abs(error))).alias("mae"),
     )
+
+
+def display_sample(
+    df: DataFrame, n: int, by: Sequence[str] = ("dataset_id",), key: Sequence[str] = (*S.KEY, "cycle")
+) -> DataFrame:
+    """The ``n`` rows of each group whose keys have the least hashes; equal hashes go by content.
+
+    Which rows these are depends on the keys alone. A task sends at most ``n``
+    rows of a group on: Spark limits the groups before it moves them, as long as
+    ``n`` is not over ``spark.sql.optimizer.windowGroupLimitThreshold`` (1,000).
+    """
+    hashed = F.md5(F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in key)))
+    order = Window.partitionBy(*by).orderBy("__hash", *(c for c in df.columns if c not in by))
+    placed = df.withColumn("__hash", hashed).withColumn("__place", F.row_number().over(order))
+    return placed.filter(F.col("__place") <= n).drop("__hash", "__place")

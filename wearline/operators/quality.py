@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from wearline import schema as S
@@ -24,8 +25,8 @@ class Check:
     def kind(self) -> str:
         return "accepted_values" if self.accepted else "not_null"
 
-    def fails(self) -> Column:
-        column = F.col(self.column)
+    def fails(self, column: Column | None = None) -> Column:
+        column = F.col(self.column) if column is None else column
         return ~column.isin(*self.accepted) if self.accepted else column.isNull()
 
 
@@ -41,6 +42,12 @@ HEALTH_CHECKS = (
 )
 FEATURE_CHECKS = not_null("dataset_id", "engine_id", "cycle", "rul", "cycle_pct")
 DRIFT_CHECKS = not_null("dataset_id", "engine_id", "s02_drift", "s04_drift", "s11_drift")
+# Name in the report and checks of each checked Gold table.
+GOLD_CHECKS = {
+    "engine_health": ("health", HEALTH_CHECKS),
+    "ml_features": ("features", FEATURE_CHECKS),
+    "sensor_drift": ("drift", DRIFT_CHECKS),
+}
 
 
 def run_checks(df: DataFrame, model: str, checks: Sequence[Check]) -> DataFrame:
@@ -58,6 +65,39 @@ def run_checks(df: DataFrame, model: str, checks: Sequence[Check]) -> DataFrame:
     return counted.select(F.inline(F.array(*rows)))
 
 
+@dataclass(frozen=True)
+class Report:
+    """Checks that were counted while a table was written."""
+
+    model: str
+    checks: tuple[Check, ...]
+    observation: Observation
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        """One row per check with the number of failing rows, once the write is done."""
+        counts = self.observation.get
+        rows = [(self.model, c.column, c.kind, counts[f"c{i}"]) for i, c in enumerate(self.checks)]
+        return spark.createDataFrame(rows, "model string, column_name string, check_kind string, failures long")
+
+
+def observed(
+    df: DataFrame, model: str, checks: Sequence[Check], view: dict[str, Column] | None = None
+) -> tuple[DataFrame, Report]:
+    """The table with its checks attached to whatever writes it next, and their report.
+
+    ``view`` replaces columns in the checks only (see ``staging_view``).
+    """
+    view = view or {}
+    counts = (X.count_if(c.fails(view.get(c.column))).alias(f"c{i}") for i, c in enumerate(checks))
+    observation = Observation(f"{model}-{uuid.uuid4().hex}")
+    return df.observe(observation, *counts), Report(model, tuple(checks), observation)
+
+
+def staging_view() -> dict[str, Column]:
+    """Ids as the staging checks look at them: of valid rows only, since others may lack them on purpose."""
+    return {c: F.when(F.col("status") == S.VALID, F.col(c)).otherwise(0) for c in ("engine_id", "cycle")}
+
+
 def check_staging(silver: DataFrame, strict: bool = False) -> DataFrame:
     """Checks of the row-status table.
 
@@ -66,13 +106,7 @@ def check_staging(silver: DataFrame, strict: bool = False) -> DataFrame:
     """
     if strict:
         return run_checks(silver, "staging", STAGING_CHECKS)
-    seen = silver.select(
-        "status",
-        *(
-            F.when(F.col("status") == S.VALID, F.col(c)).otherwise(0).alias(c)
-            for c in ("engine_id", "cycle")
-        ),
-    )
+    seen = silver.select("status", *(value.alias(c) for c, value in staging_view().items()))
     return run_checks(seen, "staging", STAGING_CHECKS)
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wearline import schema as S
-from wearline.operators import anomaly, gold, lifetime, validation
+from wearline.operators import anomaly, gold, lifetime, quality, validation
 from wearline.operators.series import SPAN, SeriesShape, frames_of, measure_series
 from wearline.workspace import new_folder
 from wearline.sources import layers
@@ -84,7 +84,11 @@ class Medallion:
         }
 
     def write_gold(self, root: str | None = None) -> str:
-        """Write every Gold table.
+        """Write every Gold table; returns their folder."""
+        return self.write_gold_checked(root)[0]
+
+    def write_gold_checked(self, root: str | None = None) -> tuple[str, list[quality.Report]]:
+        """Write every Gold table, with the declared checks counted by the writes themselves.
 
         The three row-frame tables share one pass over Silver: their columns
         are written once and each table is a projection of that, so Silver is
@@ -101,9 +105,13 @@ class Medallion:
         stored = layers.read_layer(self.spark, f"{root}/frames", frames.schema)
         tables = {n: table.show(stored) for n, table in shared.items()}
         tables |= {"engine_health": self.engine_health(), "sensor_drift": self.sensor_drift()}
+        reports = []
         for name, table in tables.items():
+            if name in quality.GOLD_CHECKS:
+                table, report = quality.observed(table, *quality.GOLD_CHECKS[name])
+                reports.append(report)
             layers.overwrite_layer(table, f"{root}/{name}")
-        return root
+        return root, reports
 
 
 def build_layers(

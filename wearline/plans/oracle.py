@@ -419,12 +419,17 @@ def all_oracles() -> dict[str, str]:
         f" {_rounded(f'sqrt(avg({error} * {error}))', 9)} AS rmse,"
         f" {_rounded(f'avg(abs({error}))', 9)} AS mae FROM test GROUP BY dataset_id",
         "feature_vectors": _scaled(True).removesuffix("SELECT * FROM wide")
-        + f"SELECT {_KEY}, cycle, [{', '.join(S.FEATURES)}] AS features FROM wide"
-        f" WHERE {_COMPLETE}",
-        "rul_check": f"{study} SELECT dataset_id, count(*) AS test_rows,"
-        " count(DISTINCT engine_id) AS test_engines, true AS beats_mean, true AS in_range,"
-        " true AS importances_sum_to_one FROM test"
-        " WHERE dataset_id IN (SELECT dataset_id FROM train) GROUP BY dataset_id",
+        + f"SELECT {_KEY}, cycle, CASE WHEN {_COMPLETE} THEN [{', '.join(S.FEATURES)}] END AS features FROM wide",
+        "rul_check": f"{study}, known AS (SELECT dataset_id, avg(rul) AS mean_rul,"
+        " count(DISTINCT engine_id) AS train_engines FROM train GROUP BY dataset_id)"
+        " SELECT dataset_id, count(*) AS test_rows, count(DISTINCT engine_id) AS test_engines,"
+        f" max(train_engines) AS train_engines, {_rounded('sqrt(avg((mean_rul - rul) ** 2))', 9)} AS rmse_of_mean,"
+        " true AS in_range, true AS importances_sum_to_one"
+        " FROM test JOIN known USING (dataset_id) GROUP BY dataset_id",
+        "display_sample": f"{study} SELECT {_KEY}, cycle, rul,"
+        f" {_rounded('125.0::DOUBLE * (1 - cycle_pct)', 6)} AS guess FROM test"
+        " QUALIFY row_number() OVER (PARTITION BY dataset_id"
+        " ORDER BY md5(concat_ws('|', dataset_id, engine_id, cycle))) <= 200",
         "quality_report": f"{silver},{_HEALTH},{_features('rul')},{_DRIFT} {_checks()}",
         "rul_violations": f"{silver},"
         f" stepped AS (SELECT *, lag(rul) OVER (PARTITION BY {_KEY} ORDER BY cycle) AS prior"
@@ -458,6 +463,7 @@ def all_oracles() -> dict[str, str]:
         bodies[f"silver_status_{name}"] = (
             f"{bronze} SELECT {_KEY}, cycle, {rule} AS status FROM bronze"
         )
+    bodies["quality_written"] = bodies["quality_report"]
     bodies |= load_queries.oracle_sql(bodies, silver)
     bodies |= stream_queries.oracle_sql(bronze, silver, _scores(), _STATUS["full"])
     return {name: f"WITH {body.strip()}" for name, body in bodies.items()}

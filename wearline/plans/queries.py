@@ -513,9 +513,11 @@ def regression_metrics(spark, sf_dir):
 
 
 def feature_vectors(spark, sf_dir):
-    vectors = model.feature_vectors(study(spark, sf_dir).scaled, invalid="skip")
+    """Scaled features as vectors; rows without a scaler have none."""
+    vectors = model.feature_vectors(study(spark, sf_dir).scaled, invalid="null")
+    given = F.when(F.col("features").isNotNull(), vector_to_array("features"))
     # 0.0 is added to lose the sign of a rounded zero.
-    values = F.transform(vector_to_array("features"), lambda x: F.round(x, ROW) + F.lit(0.0))
+    values = F.transform(given, lambda x: F.round(x, ROW) + F.lit(0.0))
     return vectors.select(*S.KEY, "cycle", values.alias("features"))
 
 
@@ -527,32 +529,50 @@ def rul_results(spark, sf_dir):
     return baseline(spark, sf_dir).results
 
 
-def rul_check(spark, sf_dir):
-    """What must hold of the fitted forests, per dataset.
-
-    A forest has to beat the mean label of its train rows; one of fewer than
-    five train engines has seen too few lives for that and passes.
-    """
+def _against_mean(spark, sf_dir) -> DataFrame:
+    """Errors of the forests beside those of a guess that knows the train labels' mean only."""
     s = baseline(spark, sf_dir)
     label = F.col("label")
     mean = scaling.label_distribution(s.train).select("dataset_id", "mean_rul")
     engines = s.train.groupBy("dataset_id").agg(F.count_distinct("engine_id").alias("train_engines"))
-    mean = mean.join(engines, "dataset_id")
-    squared = (F.avg((F.col("prediction") - label) ** 2), F.avg((F.col("mean_rul") - label) ** 2))
-    errors = (
-        s.predictions.join(mean, "dataset_id")
+
+    def rmse(guess: str):
+        return F.sqrt(F.avg((F.col(guess) - label) ** 2))
+
+    return (
+        s.predictions.join(mean.join(engines, "dataset_id"), "dataset_id")
         .groupBy("dataset_id")
         .agg(
             F.count(F.lit(1)).alias("test_rows"),
             F.count_distinct("engine_id").alias("test_engines"),
-            ((squared[0] < squared[1]) | (F.max("train_engines") < 5)).alias("beats_mean"),
+            F.max("train_engines").alias("train_engines"),
+            rmse("prediction").alias("rmse"),
+            rmse("mean_rul").alias("rmse_of_mean"),
             F.bool_and(F.col("prediction").between(0, S.RUL_CAP)).alias("in_range"),
         )
     )
+
+
+def rul_against_mean(spark, sf_dir):
+    """Whether each forest beats the mean, and from how many lives it learned."""
+    return _against_mean(spark, sf_dir).withColumn("beats_mean", F.col("rmse") < F.col("rmse_of_mean"))
+
+
+def rul_check(spark, sf_dir):
+    """What is known of the forests without fitting them: rows, engines, the mean's error, and bounds."""
+    s = baseline(spark, sf_dir)
     weights = s.importance.groupBy("dataset_id").agg(
         (F.abs(F.sum("importance") - 1) < 1e-9).alias("importances_sum_to_one")
     )
-    return errors.join(weights, "dataset_id")
+    checked = _round(_against_mean(spark, sf_dir).drop("rmse"), GROUP, "rmse_of_mean")
+    return checked.join(weights, "dataset_id")
+
+
+def display_sample(spark, sf_dir):
+    """At most 200 test rows of each dataset for a chart: the same ones however the rows lie."""
+    guess = F.lit(float(S.RUL_CAP)) * (F.lit(1.0) - F.col("cycle_pct"))
+    rows = study(spark, sf_dir).test.select(*S.KEY, "cycle", "rul", F.round(guess, ROW).alias("guess"))
+    return model.display_sample(rows, 200)
 
 
 def feature_importance(spark, sf_dir):
@@ -572,6 +592,15 @@ def quality_report(spark, sf_dir):
     )
 
 
+def quality_written(spark, sf_dir):
+    """The declared checks as metrics of the writes of Silver and Gold: no table is read for them."""
+    t = tables(spark, sf_dir)
+    silver, staging = quality.observed(t.silver, "staging", quality.STAGING_CHECKS, quality.staging_view())
+    layers.overwrite_layer(silver, new_folder(spark, "silver"))
+    reports = [staging, *t.write_gold_checked(new_folder(spark, "gold"))[1]]
+    return layers.union_datasets(*(r.table(spark) for r in reports))
+
+
 def rul_violations(spark, sf_dir):
     t = tables(spark, sf_dir)
     return quality.rul_violations(t.valid, t.shape, t.span)
@@ -597,8 +626,8 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         train_rows, test_rows, model_rows, rul_distribution,
         scaler_global, scaler_per_condition, scaler_fallback, condition_count,
         unseen_conditions, scaled_features, scaled_features_global,
-        regression_metrics, feature_vectors, rul_predictions, rul_results, rul_check, feature_importance,
-        quality_report, rul_violations, late_stage_report,
+        regression_metrics, feature_vectors, rul_predictions, rul_results, rul_against_mean, rul_check,
+        feature_importance, display_sample, quality_report, quality_written, rul_violations, late_stage_report,
     )
     statuses = {f"silver_status_{name}": _status(name) for name in validation.PRESETS}
     written = {f"gold_written_{name}": _written_gold(name) for name in WRITTEN}
