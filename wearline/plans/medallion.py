@@ -171,7 +171,15 @@ _built: dict[tuple, Medallion] = {}
 
 
 def version_of(spark: SparkSession, source: str) -> str:
-    """Files of an input with their sizes and times, as one hash; nothing of them is read."""
+    """Files of an input with their sizes and times, as one text; nothing of them is read.
+
+    A single file is asked for at its file system. Folders and globs are listed by a Spark job.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(source)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if system.exists(path) and system.getFileStatus(path).isFile():
+        status = system.getFileStatus(path)
+        return f"{status.getModificationTime()}-{status.getLen()}"
     files = spark.read.format("binaryFile").load(source)
     named = F.xxhash64("path", "modificationTime", "length")
     row = files.agg(F.count(F.lit(1)).alias("n"), F.bit_xor(named).alias("x")).first()

@@ -261,8 +261,8 @@ def silver_valid(spark, sf_dir):
 
 
 def silver_derived(spark, sf_dir):
-    bronze = tables(spark, sf_dir).bronze
-    derived = lifetime.add_lifetime(bronze, tables(spark, sf_dir).lifetimes)
+    t = tables(spark, sf_dir)
+    derived = lifetime.add_lifetime(t.bronze, t.lifetimes)
     return derived.select(*S.KEY, "cycle", "max_cycle", "cycle_pct", "rul")
 
 
@@ -435,7 +435,8 @@ def op_condition_missing(spark, sf_dir):
 
 
 def engine_split(spark, sf_dir):
-    return split.engine_split(tables(spark, sf_dir).valid, study(spark, sf_dir).cuts)
+    s = study(spark, sf_dir)
+    return split.engine_split(s.tables.valid, s.cuts)
 
 
 def engine_split_fixed(spark, sf_dir):
