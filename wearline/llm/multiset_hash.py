@@ -13,13 +13,14 @@ Two kinds of lanes make up a vector:
 * 128 lanes: every run of three words of the paragraph (the whole paragraph if
   it is shorter) adds +1 or -1 to one lane, both taken from its hash. The cosine
   of two documents' lanes estimates the cosine of their multisets of runs, with
-  an error of about 0.09; below 0 counts as 0. This is the likeness. It is taken
-  from the whole sums (64 bits); the fingerprint shows them modulo 2**16.
+  an error of about 0.09; below 0 counts as 0. This is the likeness, and it is one
+  of fingerprints: lanes are kept modulo 2**32 and read as signed numbers, which
+  no text of less than 2**31 runs leaves (``likeness_of`` takes two fingerprints).
 
 Everything is built-in Spark functions. The next document in order of the id is
 found without sorting all documents in one task: documents are windowed inside
 blocks of 64 consecutive ids, and only the first document of a block is carried
-to the block before it. Which block follows which is settled on block numbers
+to the block before it; which ids these are is found without the texts. Which block follows which is settled on block numbers
 alone, 1,024 to a window, level above level.
 
 Edge cases: null texts are empty; an empty text has no paragraph and the zero
@@ -38,11 +39,12 @@ from wearline.llm.common import text_of
 from wearline.workspace import settle
 
 EXACT_LANES, EXACT_BITS = 16, 32
-LIKE_LANES, LIKE_BITS = 128, 16
+LIKE_LANES, LIKE_BITS = 128, 32
 RUN = 3
 BLOCK = 64
 SPAN = 1_024
 SINGLE = 10_000  # block numbers that one window may order
+SENT_FIRSTS = 2_000_000  # firsts of blocks that are sent to the tasks; more are joined
 _FIRST = -(2**63)
 
 
@@ -79,9 +81,11 @@ def with_next(docs: DataFrame) -> DataFrame:
     blocks = settle(rows.select(F.col("block").alias("key")).distinct(), "blocks")
     follows = settle(successors(blocks), "block-order")
     first = follows.agg(F.min("key")).first()[0]
-    # The first document of a block, by map-side minima: the texts stay where they are.
-    heads = rows.groupBy("block").agg(F.min(F.struct(order.alias("order"), "text")).alias("first"))
-    heads = heads.select(F.col("block").alias("next"), F.col("first.text").alias("head"))
+    # The first id of a block comes from map-side minima of numbers; only its texts are looked up.
+    firsts = settle(rows.select("block", order.alias("order")).groupBy("block").agg(F.min("order").alias("order")), "firsts")
+    listed = F.broadcast(firsts) if firsts.count() <= SENT_FIRSTS else firsts
+    heads = rows.select("block", order.alias("order"), "text").join(listed, ["block", "order"])
+    heads = heads.groupBy("block").agg(F.min("text").alias("head")).withColumnRenamed("block", "next")
     follows = follows.select(F.col("key").alias("block"), F.coalesce("next", F.lit(first)).alias("next"))
     heads = settle(follows.join(heads, "next").select("block", "head"), "block-heads")
     return placed.join(heads, "block", "left").select(
@@ -155,8 +159,25 @@ def _wrapped(lanes: Column) -> Column:
     return F.transform(lanes, lambda x: F.pmod(x, F.lit(2**LIKE_BITS)))
 
 
+def _signed(wrapped: Column) -> Column:
+    """Lanes as a fingerprint holds them, read as signed numbers."""
+    return F.transform(wrapped, lambda x: F.when(x >= 2 ** (LIKE_BITS - 1), x - F.lit(2**LIKE_BITS)).otherwise(x))
+
+
+def like_lanes_of(fingerprint: Column) -> Column:
+    """The likeness lanes of a fingerprint."""
+    digits, first = LIKE_BITS // 4, EXACT_LANES * EXACT_BITS // 4
+    lane = lambda k: F.conv(F.substring(fingerprint, k * digits + first + 1, F.lit(digits)), 16, 10).cast("long")
+    return _signed(F.transform(F.sequence(F.lit(0), F.lit(LIKE_LANES - 1)), lane))
+
+
+def likeness_of(a: Column, b: Column) -> Column:
+    """Likeness of two fingerprints."""
+    return likeness(like_lanes_of(a), like_lanes_of(b))
+
+
 def likeness(a: Column, b: Column) -> Column:
-    """Cosine of two arrays of likeness lanes (whole sums), from 0 to 1."""
+    """Cosine of two arrays of likeness lanes, from 0 to 1."""
 
     def dot(x: Column, y: Column) -> Column:
         products = F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double"))
@@ -213,16 +234,16 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     )
     none = F.array_repeat(F.lit(0).cast("long"), LIKE_LANES)
     full = facts.join(like, key, "left").withColumns(
-        {c: F.coalesce(F.col(c), none) for c in ("own", "other", "next")}
+        {c: _wrapped(F.coalesce(F.col(c), none)) for c in ("own", "other", "next")}
     )
     return full.select(
         "doc_id",
         "n_chars",
         "edited_sha256",
-        F.concat(_shown(F.col("exact"), EXACT_BITS), _shown(_wrapped(F.col("own")), LIKE_BITS)).alias("fingerprint"),
-        F.concat(_shown(F.col("exact_edited"), EXACT_BITS), _shown(_wrapped(F.col("other")), LIKE_BITS)).alias(
+        F.concat(_shown(F.col("exact"), EXACT_BITS), _shown(F.col("own"), LIKE_BITS)).alias("fingerprint"),
+        F.concat(_shown(F.col("exact_edited"), EXACT_BITS), _shown(F.col("other"), LIKE_BITS)).alias(
             "edited_fingerprint"
         ),
-        likeness(F.col("own"), F.col("other")).alias("near_edited"),
-        likeness(F.col("own"), F.col("next")).alias("near_next"),
+        likeness(_signed(F.col("own")), _signed(F.col("other"))).alias("near_edited"),
+        likeness(_signed(F.col("own")), _signed(F.col("next"))).alias("near_next"),
     )
