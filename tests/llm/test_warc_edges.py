@@ -16,3 +16,29 @@ def test_payloads_that_meet_the_line_ends_of_their_record(spark, folder):
     read = {c["response"]["target_uri"]: c["response"] for c in captures}
     assert {u: bytes(r["payload"]).decode() for u, r in read.items()} == {u: p for _, u, p in rows}
     assert all(r["complete"] and r["payload_bytes"] == len(r["payload"]) for r in read.values())
+
+
+def test_urls_with_line_ends_and_pages_without_ids(spark, folder):
+    rows = [
+        (1, "http://x/\r\n\r\nfoo", "same"), (2, "http://x/%0D%25\n", "other"), (3, "http://x/%0D%25", "other"),
+        (None, "http://n/1", "same payload"), (None, "http://n/2", "same payload"), (None, "http://n/3", "alone"),
+        (7, "http://t/1", "twins"), (7, "http://t/2", "twins"), (7, "http://t/3", "same"), (5, "http://t/4", "twins"),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    warc.write_archives(pages, folder + "/a")
+    captures = warc.assemble(warc.with_payload(warc.read_records(spark, folder + "/a"))).collect()
+    assert len(captures) == len(rows)
+    read = {c["response"]["target_uri"]: c["response"] for c in captures}
+    assert set(read) == {u for _, u, _ in rows}
+    names = {c["capture_id"]: c["response"]["target_uri"] for c in captures}
+    by_payload = {}
+    for page, url, html in rows:
+        r = read[url]
+        assert r["complete"] and r["payload_bytes"] == len(html)
+        by_payload.setdefault(html, []).append((page, r["record_type"], names.get(r["refers_to"])))
+        if r["record_type"] == "response":
+            assert bytes(r["payload"]).decode() == html
+    for html, found in by_payload.items():
+        (original,) = [u for u in read if read[u]["record_type"] == "response" and bytes(read[u]["payload"]).decode() == html]
+        assert all(to == original for _, kind, to in found if kind == "revisit")
+        assert next(p for p, u, _ in rows if u == original) == max((p for p, *_ in found), key=lambda p: (p is not None, p or 0))

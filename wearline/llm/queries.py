@@ -59,13 +59,15 @@ def op1_warc_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures = warc.assemble(warc.with_payload(warc.read_records(spark, folder)))
 
     def page(identifier: str) -> Column:
-        number = F.regexp_extract(identifier, "^<urn:page:capture:(-?[0-9]*)-[0-9]+>$", 1)
+        number = F.regexp_extract(identifier, "^<urn:page:capture:(-?[0-9]*)-[0-9A-Z.]+>$", 1)
         return F.when(number != "", number).cast("long")
 
     return captures.select(
         page("capture_id").alias("page_id"),
         F.col("response.payload_bytes").alias("payload_bytes"),
-        F.col("response.payload_digest").alias("payload_digest"),
+        # Of the payload as read back; a revisit has none and states that of its response.
+        F.when(F.col("response.record_type") == "response", warc.sha1_base32(F.col("response.payload")))
+        .otherwise(F.col("response.payload_digest")).alias("payload_digest"),
         F.col("response.record_type").alias("record_type"),
         page("response.refers_to").alias("refers_to"),
         F.size("requests").alias("n_requests"),

@@ -81,47 +81,65 @@ def _chunked(payload: Column) -> Column:
     return F.concat(F.array_join(F.transform(parts, _chunk), ""), F.lit(f"0{RECORD_END}"))
 
 
+def _escaped(url: Column) -> Column:
+    """A url without line ends: they, and then ``%`` too, become percent codes."""
+    codes = F.replace(F.replace(F.replace(url, F.lit("%"), F.lit("%25")), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
+    return F.when(_needs_escape(url), codes).otherwise(url)
+
+
+def _needs_escape(url: Column) -> Column:
+    return F.contains(url, F.lit("\r")) | F.contains(url, F.lit("\n"))
+
+
+def _unescaped(url: Column) -> Column:
+    return F.replace(F.replace(F.replace(url, F.lit("%0D"), F.lit("\r")), F.lit("%0A"), F.lit("\n")), F.lit("%25"), F.lit("%"))
+
+
 def captures(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """Pages with digest, size, and the page that they revisit (null: a response)."""
+    """Pages with digest, size, a name of their own (``own``) and that of the page with the same payload
+    and the largest id (``first``, ``first_url``; null where no other page has the payload)."""
     known = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
         F.coalesce("url", F.lit("")).alias("url"),
         F.coalesce("html", F.lit("")).alias("payload"),
     )
+    # Only pages that share their id need more than it for a name: their digest, and a number within that.
+    twins = known.groupBy(F.col("page_id").alias("twin")).count().filter("count > 1")
+    twins = settle(twins.select("twin", F.lit(True).alias("shared")), "equal-page-ids")
     known = known.withColumns(
         {"digest": sha1_base32(F.col("payload")), "size": F.octet_length("payload").cast("long")}
     )
+    joined = known.join(twins, F.col("page_id").eqNullSafe(F.col("twin")), "left")
+    name = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
+    number = F.row_number().over(Window.partitionBy("page_id", "digest").orderBy("url"))
+    single = joined.filter("shared is null").withColumn("own", F.concat(name, F.lit("-1")))
+    several = joined.filter("shared").withColumn("number", number)
+    several = several.withColumn("own", F.concat(name, F.lit("-"), "digest", F.lit("."), "number")).drop("number")
+    rows = single.unionByName(several).drop("twin", "shared")
     repeated = (
-        known.filter(F.col("size") >= least_bytes)
+        rows.filter(F.col("size") >= least_bytes)
         .groupBy("digest", "size")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("page_id").alias("original"), F.max(F.struct("page_id", "url")).alias("from"))
+        .agg(F.count(F.lit(1)).alias("n"), F.max(F.struct("page_id", "own", "url")).alias("from"))
         .filter("n > 1")
     )
     repeated = settle(
-        repeated.select("digest", "size", "original", F.col("from.url").alias("original_url")), "repeated-payloads"
+        repeated.select("digest", "size", F.col("from.own").alias("first"), F.col("from.url").alias("first_url")),
+        "repeated-payloads",
     )
-    return known.join(repeated, ["digest", "size"], "left")
+    return rows.join(repeated, ["digest", "size"], "left")
 
 
 def records(pages: DataFrame, date: str = "2024-01-01T00:00:00Z", least_bytes: int = 0) -> DataFrame:
     """The text of all records, three per page: column ``value``."""
     rows = captures(pages, least_bytes)
-    # Only pages that share the id of a response could be taken for it; they get numbers of their own.
-    twins = settle(pages.groupBy(F.col("page_id").cast("long").alias("twin")).count().filter("count > 1").select("twin"), "equal-page-ids")
-    joined = rows.join(twins, F.col("page_id").eqNullSafe(F.col("twin")), "left")
-    number = F.row_number().over(Window.partitionBy("twin").orderBy("digest", "url"))
-    single = joined.filter("twin is null and page_id is not null").withColumn("copy", F.lit(1))
-    several = joined.filter("twin is not null or page_id is null").withColumn("copy", number)
-    rows = single.unionByName(several)
-
+    own, first = F.col("own"), F.col("first")
     name = F.coalesce(F.col("page_id").cast("string"), F.lit(""))
-    first = F.concat(F.coalesce(F.col("original").cast("string"), F.lit("")), F.lit("-1"))
-    own = F.concat(name, F.lit("-"), F.col("copy").cast("string"))
+    url, escaped = _escaped(F.col("url")), F.when(_needs_escape(F.col("url")), "percent")
 
     def identifier(kind: str, of: Column) -> Column:
         return F.concat(F.lit(f"<urn:page:{kind}:"), of, F.lit(">"))
 
-    is_revisit = F.col("original").isNotNull() & (own != first)
+    is_revisit = F.coalesce(own != first, F.lit(False))
     response_id = identifier("capture", own)
     has_separator = F.instr(F.concat(F.lit(RECORD_END), "payload", F.lit(RECORD_END)), SEPARATOR) > 0
     digest = F.concat(F.lit("sha1:"), F.col("digest"))
@@ -140,22 +158,24 @@ def records(pages: DataFrame, date: str = "2024-01-01T00:00:00Z", least_bytes: i
             ("WARC-Type", kind),
             ("WARC-Record-ID", response_id),
             ("WARC-Date", F.lit(date)),
-            ("WARC-Target-URI", F.col("url")),
+            ("WARC-Target-URI", url),
+            ("X-URI-Escapes", escaped),
             ("WARC-Payload-Digest", digest),
             ("WARC-Profile", F.when(is_revisit, PROFILE)),
             ("WARC-Refers-To", F.when(is_revisit, identifier("capture", first))),
-            ("WARC-Refers-To-Target-URI", F.when(is_revisit, F.col("original_url"))),
+            ("WARC-Refers-To-Target-URI", F.when(is_revisit, _escaped(F.col("first_url")))),
             ("Content-Type", F.lit("application/http; msgtype=response")),
         ),
         F.concat(http, F.lit(RECORD_END), body),
     )
-    path = F.regexp_extract("url", r"^[^:]*://[^/]*([^#]*)", 1)
+    path = F.regexp_extract(url, r"^[^:]*://[^/]*([^#]*)", 1)
     request = _record(
         _headers(
             ("WARC-Type", F.lit("request")),
             ("WARC-Record-ID", identifier("request", own)),
             ("WARC-Date", F.lit(date)),
-            ("WARC-Target-URI", F.col("url")),
+            ("WARC-Target-URI", url),
+            ("X-URI-Escapes", escaped),
             ("WARC-Concurrent-To", response_id),
             ("Content-Type", F.lit("application/http; msgtype=request")),
         ),
@@ -166,7 +186,8 @@ def records(pages: DataFrame, date: str = "2024-01-01T00:00:00Z", least_bytes: i
             ("WARC-Type", F.lit("metadata")),
             ("WARC-Record-ID", identifier("metadata", own)),
             ("WARC-Date", F.lit(date)),
-            ("WARC-Target-URI", F.col("url")),
+            ("WARC-Target-URI", url),
+            ("X-URI-Escapes", escaped),
             ("WARC-Concurrent-To", response_id),
             ("Content-Type", F.lit("application/warc-fields")),
         ),
@@ -210,7 +231,8 @@ def read_records(spark: SparkSession, folder: str) -> DataFrame:
         _header("WARC-Record-ID").alias("record_id"),
         _header("WARC-Type").alias("record_type"),
         _header("WARC-Date").alias("date"),
-        _header("WARC-Target-URI").alias("target_uri"),
+        F.when(_header("X-URI-Escapes") == "percent", _unescaped(_header("WARC-Target-URI")))
+        .otherwise(_header("WARC-Target-URI")).alias("target_uri"),
         _all_headers("WARC-Concurrent-To").alias("concurrent_to"),
         _header("WARC-Refers-To").alias("refers_to"),
         F.regexp_replace(_header("WARC-Payload-Digest"), "^[a-z0-9]+:", "").alias("payload_digest"),
@@ -268,36 +290,47 @@ def assemble(found: DataFrame) -> DataFrame:
     """One nested row per capture: ``capture_id``, ``response``, ``requests``, ``metadata``.
 
     A request or metadata record belongs to the response or revisit that it
-    names, or that names it, or that a record which it names belongs to.
+    names, or that names it, or that a record which it names belongs to. Archives
+    are read twice: once for identifiers and small records, which are written, and
+    once for the responses, of which only the columns move that are asked for.
     """
-    anchors = found.filter(F.col("record_type").isin("response", "revisit"))
-    others = found.filter(~F.coalesce(F.col("record_type").isin("response", "revisit", "warcinfo"), F.lit(False)))
-    anchor_ids = anchors.select(F.col("record_id").alias("anchor")).distinct()
+    is_anchor = F.coalesce(F.col("record_type").isin("response", "revisit"), F.lit(False))
+    details = F.struct(*_DETAILS)
+    narrow = found.filter(F.coalesce(F.col("record_type") != "warcinfo", F.lit(True))).select(
+        "record_id", "record_type", "concurrent_to", is_anchor.alias("is_anchor"), F.when(~is_anchor, details).alias("details")
+    )
+    narrow = settle(narrow, "warc-links")
+    heads, others = narrow.filter("is_anchor"), narrow.filter("not is_anchor")
+    anchor_ids = heads.select(F.col("record_id").alias("anchor")).distinct()
     named = others.select("record_id", F.explode("concurrent_to").alias("anchor"))
-    naming = anchors.select(F.explode("concurrent_to").alias("record_id"), F.col("record_id").alias("anchor"))
+    naming = heads.select(F.explode("concurrent_to").alias("record_id"), F.col("record_id").alias("anchor"))
     direct = named.join(anchor_ids, "anchor", "left_semi").select("record_id", "anchor").unionByName(naming)
     # A record with several names belongs to the first, in order of the identifiers.
-    direct = direct.groupBy("record_id").agg(F.min("anchor").alias("capture_id"))
+    direct = settle(direct.groupBy("record_id").agg(F.min("anchor").alias("capture_id")), "direct-links")
     rest = named.join(anchor_ids, "anchor", "left_anti").withColumnRenamed("anchor", "via")
     through = rest.join(direct.withColumnRenamed("record_id", "via"), "via").groupBy("record_id")
     through = through.agg(F.min("capture_id").alias("capture_id"))
     links = direct.unionByName(through).groupBy("record_id").agg(F.min("capture_id").alias("capture_id"))
-    details = F.struct(*_DETAILS)
     attached = (
         others.join(links, "record_id", "left")
-        .withColumn("capture_id", F.coalesce("capture_id", "record_id"))
-        .groupBy("capture_id")
+        .groupBy(F.coalesce("capture_id", "record_id").alias("capture_id"))
         .agg(
-            F.sort_array(F.collect_list(F.when(F.col("record_type") == "request", details))).alias("requests"),
-            F.sort_array(F.collect_list(F.when(F.col("record_type") == "metadata", details))).alias("metadata"),
+            F.sort_array(F.collect_list(F.when(F.col("record_type") == "request", F.col("details")))).alias("requests"),
+            F.sort_array(F.collect_list(F.when(F.col("record_type") == "metadata", F.col("details")))).alias("metadata"),
         )
     )
-    fields = [c for c in anchors.columns if c not in ("concurrent_to",)]
-    response = anchors.select(F.col("record_id").alias("capture_id"), F.struct(*fields).alias("response"))
-    none = F.array().cast(attached.schema["requests"].dataType)
-    return response.join(attached, "capture_id", "full").select(
-        "capture_id",
-        "response",
-        F.coalesce("requests", none).alias("requests"),
-        F.coalesce("metadata", none).alias("metadata"),
+    attached = settle(attached, "attached-records")
+    fields = [c for c in found.columns if c != "concurrent_to"]
+    # The nested row is made after the join, so that columns nobody reads do not move.
+    anchors = found.filter(is_anchor)
+    whole = anchors.join(attached, anchors["record_id"] == attached["capture_id"], "left")
+    whole = whole.select(
+        anchors["record_id"].alias("capture_id"),
+        F.struct(*(anchors[c] for c in fields)).alias("response"),
+        *(F.coalesce(attached[c], F.array().cast(attached.schema[c].dataType)).alias(c) for c in ("requests", "metadata")),
+    )
+    alone = attached.join(anchor_ids, F.col("capture_id") == F.col("anchor"), "left_anti")
+    alone = alone.select(
+        "capture_id", F.lit(None).cast(whole.schema["response"].dataType).alias("response"), "requests", "metadata"
     )
+    return whole.unionByName(alone)
