@@ -78,8 +78,7 @@ def test_words_are_encoded_as_in_their_text(spark, aligner):
         assert b.tolist() == aligner.b.model.encode(r["text"])
 
 
-def test_forgetting_changes_nothing(aligner, monkeypatch):
-    monkeypatch.setattr(token_alignment, "WORDS_KEPT", 2)
+def test_forgetting_changes_nothing(aligner):
     small = token_alignment.Aligner(aligner.a, aligner.b, memo_bytes=500)
     assert all(same(small, text) for text in ODD + ODD)
 

@@ -18,9 +18,10 @@ look-up table has a row for each pair that occurs: up to ``SENT_PAIRS`` rows it
 is sent to the tasks, beyond that both sides are joined by pair.
 
 Both encoders work word by word where that gives the tokens of the whole text (usual
-signs, single spaces), and encode a repeated word once. What is remembered is
-bounded by ``MEMO_BYTES`` and ``WORDS_KEPT`` and then forgotten; a text
-without spaces is a single window, aligned in one pass along its tokens.
+signs, single spaces), and encode a repeated word once. What is remembered of
+words and of windows is bounded by ``MEMO_BYTES`` twice over, the older half being
+forgotten when the newer one is full. New windows of a text are aligned together in
+numpy; a text without spaces is a single window.
 
 Edge cases: null and empty texts, and texts whose joined bytes differ on either
 side (a text with U+2581, which SentencePiece writes for a space), have no tokens:
@@ -34,7 +35,7 @@ from __future__ import annotations
 import functools
 import json
 import re
-from array import array
+from collections import Counter
 from itertools import chain, pairwise
 
 import numpy as np
@@ -46,10 +47,10 @@ from wearline.llm.common import text_of
 from wearline.workspace import settle
 
 SPACE = "▁"
-MEMO_BYTES = 80_000_000
-WORDS_KEPT = 200_000
+MEMO_BYTES = 90_000_000
+WORD_BYTES = 350
 SENT_PAIRS = 1_000_000
-ENTRY_BYTES = 300  # of a remembered window besides its ids and its links
+ENTRY_BYTES = 350  # of a remembered window besides its ids, groups and links
 # Fixed value: the pre-tokenizer's pattern that the byte-level vocabulary was made with.
 _WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 # Texts with other signs are encoded by the tokenizers library itself, whatever its Unicode tables.
@@ -119,10 +120,6 @@ class PieceModel:
         return self.model.encode(text, num_threads=1)
 
 
-def _shown(ids: list[int]) -> str:
-    return str(ids[0]) if len(ids) == 1 else ",".join(map(str, ids))
-
-
 def _is_plain(text: str) -> bool:
     """Usual signs, and every space stands alone between two words: no token reaches over its left side."""
     return not (
@@ -130,72 +127,79 @@ def _is_plain(text: str) -> bool:
     )
 
 
+class _Memo:
+    """What is known of keys, in two halves: when the newer one is full the older one is forgotten."""
+
+    def __init__(self, most: int):
+        self.most, self.held = most, 0
+        self.new: dict = {}
+        self.old: dict = {}
+
+    def look_up(self, keys: list) -> list:
+        """Values in the order of the keys, None for unknown ones."""
+        found = list(map(self.new.get, keys))
+        if None in found:
+            old, new = self.old.get, self.new
+            for k in [k for k, value in enumerate(found) if value is None]:
+                found[k] = value = old(keys[k])
+                if value is not None:
+                    new[keys[k]] = value
+        return found
+
+    def add(self, keys: list, values: list, size: int) -> None:
+        if self.held > self.most:
+            self.old, self.new, self.held = self.new, {}, 0
+        self.new.update(zip(keys, values))
+        self.held += size
+
+
 class Aligner:
     """Aligns texts, each different window of token ids once."""
 
     def __init__(self, a: ByteLevel, b: PieceModel, memo_bytes: int = MEMO_BYTES):
-        self.a, self.b, self.memo_bytes = a, b, memo_bytes
-        self.sizes = [len(x) for x in a.bytes], [len(x) for x in b.bytes]
-        self.size_a, self.size_b = (np.array(s, np.int64) for s in self.sizes)
+        self.a, self.b = a, b
+        self.size_a, self.size_b = (np.array([len(x) for x in t.bytes], np.int64) for t in (a, b))
         self.spaced = np.array([x.startswith(b" ") for x in a.bytes])
         self.pairs_type = np.int32 if a.size * b.size < 2**31 else np.int64
-        self.words: dict[str, tuple[bytes, bytes]] = {}
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.bytes: list[bytes | None] = []
-        self.groups: list[str] = []
-        self.links: list[tuple[int, ...]] = []
-        self.held = 0
-
-    def _window(self, a: list[int], b: list[int]) -> tuple[str, tuple[int, ...]]:
-        """Groups as text and links as codes of one window, along both rows of tokens at once."""
-        factor = self.b.size
-        if len(a) == 1 or len(b) == 1:  # the window is one group
-            return f"{_shown(a)}|{_shown(b)}", tuple(i * factor + j for i in a for j in b)
-        groups, links = [], []
-        size_a, size_b = self.sizes
-        i = j = first_a = first_b = 0
-        end_a, end_b = size_a[a[0]], size_b[b[0]]
-        while True:
-            links.append(a[i] * factor + b[j])
-            step_a, step_b = end_a <= end_b, end_b <= end_a
-            i, j = i + step_a, j + step_b
-            if step_a and step_b:
-                groups.append(f"{_shown(a[first_a:i])}|{_shown(b[first_b:j])}")
-                first_a, first_b = i, j
-                if i == len(a):
-                    return ";".join(groups), tuple(links)
-            if step_a:
-                end_a += size_a[a[i]]
-            if step_b:
-                end_b += size_b[b[j]]
-
-    def _remember(self, key: bytes, a: list[int], b: list[int]) -> int:
-        covered, other = (b"".join(map(t.bytes.__getitem__, ids)) for t, ids in ((self.a, a), (self.b, b)))
-        groups, links = self._window(a, b) if covered == other else ("", ())
-        self.known[key] = len(self.groups)
-        self.bytes.append(covered if covered == other else None)
-        self.groups.append(groups)
-        self.links.append(links)
-        self.held += ENTRY_BYTES + len(key) + len(groups) + 40 * len(links) + len(covered)
-        return len(self.groups) - 1
+        # Ids as they are shown, by what follows them: inside a side of a group, and at its end.
+        ids = [str(k) for k in range(max(a.size, b.size))]
+        self.inner, self.end_a, self.end_b = ([k + sign for k in ids] for sign in ",|;")
+        self.words = _Memo(memo_bytes)
+        self.known = _Memo(memo_bytes)
+
+    # --- tokens -----------------------------------------------------------------
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """All tokens of the whole text on both sides."""
         if not (self.b.by_word and _is_plain(text)):
             return np.array(self.a.encode(" " + text), "<u4"), np.array(self.b.encode(text), "<u4")
-        if len(self.words) > WORDS_KEPT:
-            self.words.clear()
         words = text.split(" ")
-        if new := list(set(words).difference(self.words)):
-            codes = [array("I", self.a.fast.encode_ordinary(" " + word)).tobytes() for word in new]
-            others = [array("I", ids).tobytes() for ids in self.b.model.encode(new, num_threads=1)]
-            self.words.update(zip(new, zip(codes, others)))
-        a, b = zip(*map(self.words.__getitem__, words))
+        found = self.words.look_up(words)
+        if None in found:
+            new = list({word for word, ids in zip(words, found) if ids is None})
+            encoded = dict(zip(new, zip(self._new_a(new), self._new_b(new))))
+            found = [encoded[word] if ids is None else ids for word, ids in zip(words, found)]
+            self.words.add(new, [encoded[w] for w in new], WORD_BYTES * len(new))
+        a, b = zip(*found)
         return np.frombuffer(b"".join(a), "<u4"), np.frombuffer(b"".join(b), "<u4")
 
+    def _new_a(self, words: list[str]) -> list[bytes]:
+        """Ids of new words, encoded together: each of them begins at the one token that begins with a space."""
+        ids = np.array(self.a.fast.encode_ordinary(" " + " ".join(words)), "<u4")
+        starts = np.flatnonzero(self.spaced[ids])
+        if len(starts) != len(words):
+            return [np.array(self.a.fast.encode_ordinary(" " + word), "<u4").tobytes() for word in words]
+        whole, cuts = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
+        return [whole[start:stop] for start, stop in pairwise(cuts)]
+
+    def _new_b(self, words: list[str]) -> list[bytes]:
+        found = self.b.model.encode(words, num_threads=1)
+        whole = np.fromiter(chain.from_iterable(found), "<u4").tobytes()
+        cuts = np.append(0, 4 * np.cumsum(list(map(len, found)))).tolist()
+        return [whole[start:stop] for start, stop in pairwise(cuts)]
+
+    # --- windows ------------------------------------------------------------------
+
     def windows(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where windows begin and end in both rows of ids: at shared ends before a space, and at the end."""
         ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
@@ -206,11 +210,40 @@ class Aligner:
         at[-1] = len(b) - 1
         return np.append(0, anchors[verified] + 1), np.append(0, at[verified] + 1)
 
+    def _align(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> list[tuple] | None:
+        """Bytes, groups and links of new windows, given in a row with their numbers of tokens on each side.
+
+        None if the two sides of a window differ in their bytes.
+        """
+        ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        stops = ends_a[np.cumsum(n_a) - 1]
+        covered, other = (b"".join(map(t.bytes.__getitem__, x.tolist())) for t, x in ((self.a, a), (self.b, b)))
+        if covered != other or not np.array_equal(stops, ends_b[np.cumsum(n_b) - 1]):
+            return None
+        ends = np.union1d(ends_a, ends_b)
+        at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+        links = (a[at_a].astype(np.int64) * self.b.size + b[at_b]).astype(self.pairs_type)
+        shared = (ends_a[at_a] == ends) & (ends_b[at_b] == ends)
+        # Tokens in the order in which groups show them: one side of a group, then the other.
+        last_a, last_b = at_a[shared], at_b[shared]
+        shown = np.empty(len(a) + len(b), object)
+        place_a = np.arange(len(a)) + np.repeat(np.append(0, last_b[:-1] + 1), np.diff(last_a, prepend=-1))
+        place_b = np.arange(len(b)) + np.repeat(last_a + 1, np.diff(last_b, prepend=-1))
+        for place, last, ids, end in ((place_a, last_a, a, self.end_a), (place_b, last_b, b, self.end_b)):
+            shown[place] = list(map(self.inner.__getitem__, ids.tolist()))
+            shown[place[last]] = list(map(end.__getitem__, ids[last].tolist()))
+        shown, packed, width = shown.tolist(), links.tobytes(), links.itemsize
+        of_bytes = pairwise([0, *stops.tolist()])
+        of_tokens = pairwise([0, *np.cumsum(n_a + n_b).tolist()])
+        of_links = pairwise([0, *((np.searchsorted(ends, stops) + 1) * width).tolist()])
+        return [
+            (covered[x:y], "".join(shown[i:j]), packed[first:last])
+            for (x, y), (i, j), (first, last) in zip(of_bytes, of_tokens, of_links)
+        ]
+
     def __call__(self, text: str) -> tuple[int, int, str, np.ndarray, np.ndarray]:
         """Numbers of tokens, the groups, the different pairs and how often each is linked."""
         none = 0, 0, "", np.zeros(0, self.pairs_type), np.zeros(0, np.int32)
-        if self.held > self.memo_bytes:
-            self.forget()
         if not text:
             return none
         a, b = self.encode(text)
@@ -223,24 +256,33 @@ class Aligner:
         whole[np.arange(len(b)) + np.repeat(cuts_a[1:], np.diff(cuts_b))] = b + np.uint32(self.a.size)
         ids, cuts = whole.tobytes(), (4 * (cuts_a + cuts_b)).tolist()
         keys = [ids[start:stop] for start, stop in pairwise(cuts)]
-        found = list(map(self.known.get, keys))
-        for k in [k for k, window in enumerate(found) if window is None]:
-            window = self.known.get(keys[k])
-            if window is None:
-                parts = a[cuts_a[k] : cuts_a[k + 1]], b[cuts_b[k] : cuts_b[k + 1]]
-                window = self._remember(keys[k], *(part.tolist() for part in parts))
-            found[k] = window
-        covered = list(map(self.bytes.__getitem__, found))
-        if None in covered or b"".join(covered) != b" " + text.encode():
+        found = self.known.look_up(keys)
+        if None in found:
+            first: dict[bytes, int] = {}
+            for k, window in enumerate(found):
+                if window is None:
+                    first.setdefault(keys[k], k)
+            chosen = np.zeros(len(keys), bool)
+            chosen[list(first.values())] = True
+            new = [keys[k] for k in np.flatnonzero(chosen).tolist()]
+            n_a, n_b = np.diff(cuts_a), np.diff(cuts_b)
+            aligned = self._align(a[np.repeat(chosen, n_a)], b[np.repeat(chosen, n_b)], n_a[chosen], n_b[chosen])
+            if aligned is None:
+                return none
+            fresh = dict(zip(new, aligned))
+            found = [fresh[key] if window is None else window for key, window in zip(keys, found)]
+            self.known.add(new, aligned, sum(ENTRY_BYTES + 4 * len(key) for key in new))
+        covered, groups, _ = zip(*found)
+        if b"".join(covered) != b" " + text.encode():
             return none
-        groups = ";".join(map(self.groups.__getitem__, found))
-        windows, times = np.unique(found, return_counts=True)
-        links = [self.links[w] for w in windows.tolist()]
-        sizes = list(map(len, links))
-        linked = np.fromiter(chain.from_iterable(links), self.pairs_type, sum(sizes))
+        # Equal windows are one object, so each is taken once, with its number.
+        times = Counter(map(id, found))
+        windows = {id(window): window[2] for window in found}
+        linked = np.frombuffer(b"".join(windows.values()), self.pairs_type)
+        sizes = np.fromiter(map(len, windows.values()), np.int64, len(windows)) // linked.itemsize
         codes, at = np.unique(linked, return_inverse=True)
-        times = np.bincount(at, np.repeat(times, sizes))
-        return len(a), len(b), groups, codes, times.astype(np.int32)
+        times = np.bincount(at, np.repeat([times[k] for k in windows], sizes))
+        return len(a), len(b), "".join(groups)[:-1], codes, times.astype(np.int32)
 
 
 @functools.cache
