@@ -17,9 +17,9 @@ how often they hold them; pairs are counted and looked up by Spark. The
 look-up table has a row for each pair that occurs: up to ``SENT_PAIRS`` rows it
 is sent to the tasks, beyond that both sides are joined by pair.
 
-Both encoders work word by word where that gives the tokens of the whole text (usual
-signs, single spaces), and encode a repeated word once. What is remembered of
-words and of windows is bounded by ``MEMO_BYTES`` twice over, the older half being
+In texts of usual signs and single spaces the windows are the words, whose tokens are
+the same alone as in the text; there a repeated word leads to its window at once.
+Any other text is encoded and cut as a whole. What is remembered of words and windows is bounded by ``MEMO_BYTES`` twice over, the older half being
 forgotten when the newer one is full. New windows of a text are aligned together in
 numpy; a text without spaces is a single window.
 
@@ -48,7 +48,7 @@ from wearline.workspace import settle
 
 SPACE = "▁"
 MEMO_BYTES = 90_000_000
-WORD_BYTES = 350
+WORD_BYTES = 200  # of a remembered word
 SENT_PAIRS = 1_000_000
 ENTRY_BYTES = 350  # of a remembered window besides its ids, groups and links
 # Fixed value: the pre-tokenizer's pattern that the byte-level vocabulary was made with.
@@ -154,106 +154,50 @@ class _Memo:
 
 
 class Aligner:
-    """Aligns texts, each different window of token ids once."""
+    """Aligns texts, each different window of token ids once.
+
+    An alignment is (tokens of a, tokens of b, groups with a last ``;``, links as bytes of pair codes).
+    """
 
     def __init__(self, a: ByteLevel, b: PieceModel, memo_bytes: int = MEMO_BYTES):
         self.a, self.b = a, b
         self.size_a, self.size_b = (np.array([len(x) for x in t.bytes], np.int64) for t in (a, b))
         self.spaced = np.array([x.startswith(b" ") for x in a.bytes])
         self.pairs_type = np.int32 if a.size * b.size < 2**31 else np.int64
-        # Ids as they are shown, by what follows them: inside a side of a group, and at its end.
-        ids = [str(k) for k in range(max(a.size, b.size))]
-        self.inner, self.end_a, self.end_b = ([k + sign for k in ids] for sign in ",|;")
+        # Ids as they are shown, by what follows them: inside a side of a group, and at the end of each side.
+        self.most = max(a.size, b.size)
+        self.shown = [f"{k}{sign}" for sign in ",|;" for k in range(self.most)]
         self.words = _Memo(memo_bytes)
         self.known = _Memo(memo_bytes)
 
-    # --- tokens -----------------------------------------------------------------
+    def _spells(self, tokenizer: ByteLevel | PieceModel, ids: np.ndarray, plain: bytes) -> bool:
+        return b"".join(map(tokenizer.bytes.__getitem__, ids.tolist())) == plain
 
-    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """All tokens of the whole text on both sides."""
-        if not (self.b.by_word and _is_plain(text)):
-            return np.array(self.a.encode(" " + text), "<u4"), np.array(self.b.encode(text), "<u4")
-        words = text.split(" ")
-        found = self.words.look_up(words)
-        if None in found:
-            new = list({word for word, ids in zip(words, found) if ids is None})
-            encoded = dict(zip(new, zip(self._new_a(new), self._new_b(new))))
-            found = [encoded[word] if ids is None else ids for word, ids in zip(words, found)]
-            self.words.add(new, [encoded[w] for w in new], WORD_BYTES * len(new))
-        a, b = zip(*found)
-        return np.frombuffer(b"".join(a), "<u4"), np.frombuffer(b"".join(b), "<u4")
-
-    def _new_a(self, words: list[str]) -> list[bytes]:
-        """Ids of new words, encoded together: each of them begins at the one token that begins with a space."""
-        ids = np.array(self.a.fast.encode_ordinary(" " + " ".join(words)), "<u4")
-        starts = np.flatnonzero(self.spaced[ids])
-        if len(starts) != len(words):
-            return [np.array(self.a.fast.encode_ordinary(" " + word), "<u4").tobytes() for word in words]
-        whole, cuts = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
-        return [whole[start:stop] for start, stop in pairwise(cuts)]
-
-    def _new_b(self, words: list[str]) -> list[bytes]:
-        found = self.b.model.encode(words, num_threads=1)
-        whole = np.fromiter(chain.from_iterable(found), "<u4").tobytes()
-        cuts = np.append(0, 4 * np.cumsum(list(map(len, found)))).tolist()
-        return [whole[start:stop] for start, stop in pairwise(cuts)]
-
-    # --- windows ------------------------------------------------------------------
+    # --- windows of any text ----------------------------------------------------
 
     def windows(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where windows begin and end in both rows of ids: at shared ends before a space, and at the end."""
         ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
         anchors = np.append(np.flatnonzero(self.spaced[a[1:]]), len(a) - 1)
-        at = np.minimum(np.searchsorted(ends_b, ends_a[anchors]), len(ends_b) - 1)
+        at = np.searchsorted(ends_b, ends_a[anchors])
         verified = ends_b[at] == ends_a[anchors]
-        verified[-1] = True
-        at[-1] = len(b) - 1
         return np.append(0, anchors[verified] + 1), np.append(0, at[verified] + 1)
 
-    def _align(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> list[tuple] | None:
-        """Bytes, groups and links of new windows, given in a row with their numbers of tokens on each side.
-
-        None if the two sides of a window differ in their bytes.
-        """
-        ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
-        stops = ends_a[np.cumsum(n_a) - 1]
-        covered, other = (b"".join(map(t.bytes.__getitem__, x.tolist())) for t, x in ((self.a, a), (self.b, b)))
-        if covered != other or not np.array_equal(stops, ends_b[np.cumsum(n_b) - 1]):
+    def _of_tokens(self, text: str) -> list[tuple] | None:
+        """Alignments of the windows of a text, from all its tokens; None where a side does not spell it."""
+        a, b = np.array(self.a.encode(" " + text), "<u4"), np.array(self.b.encode(text), "<u4")
+        plain = (" " + text).encode()
+        if not (self._spells(self.a, a, plain) and self._spells(self.b, b, plain)):
             return None
-        ends = np.union1d(ends_a, ends_b)
-        at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
-        links = (a[at_a].astype(np.int64) * self.b.size + b[at_b]).astype(self.pairs_type)
-        shared = (ends_a[at_a] == ends) & (ends_b[at_b] == ends)
-        # Tokens in the order in which groups show them: one side of a group, then the other.
-        last_a, last_b = at_a[shared], at_b[shared]
-        shown = np.empty(len(a) + len(b), object)
-        place_a = np.arange(len(a)) + np.repeat(np.append(0, last_b[:-1] + 1), np.diff(last_a, prepend=-1))
-        place_b = np.arange(len(b)) + np.repeat(last_a + 1, np.diff(last_b, prepend=-1))
-        for place, last, ids, end in ((place_a, last_a, a, self.end_a), (place_b, last_b, b, self.end_b)):
-            shown[place] = list(map(self.inner.__getitem__, ids.tolist()))
-            shown[place[last]] = list(map(end.__getitem__, ids[last].tolist()))
-        shown, packed, width = shown.tolist(), links.tobytes(), links.itemsize
-        of_bytes = pairwise([0, *stops.tolist()])
-        of_tokens = pairwise([0, *np.cumsum(n_a + n_b).tolist()])
-        of_links = pairwise([0, *((np.searchsorted(ends, stops) + 1) * width).tolist()])
-        return [
-            (covered[x:y], "".join(shown[i:j]), packed[first:last])
-            for (x, y), (i, j), (first, last) in zip(of_bytes, of_tokens, of_links)
-        ]
+        return self._of_windows(a, b, *self.windows(a, b))
 
-    def __call__(self, text: str) -> tuple[int, int, str, np.ndarray, np.ndarray]:
-        """Numbers of tokens, the groups, the different pairs and how often each is linked."""
-        none = 0, 0, "", np.zeros(0, self.pairs_type), np.zeros(0, np.int32)
-        if not text:
-            return none
-        a, b = self.encode(text)
-        if not (len(a) and len(b)):
-            return none
-        cuts_a, cuts_b = self.windows(a, b)
+    def _of_windows(self, a: np.ndarray, b: np.ndarray, cuts_a: np.ndarray, cuts_b: np.ndarray) -> list[tuple]:
+        """Alignments of windows by their tuples of ids; unknown ones are aligned together."""
+        n_a, n_b = np.diff(cuts_a), np.diff(cuts_b)
         # Window after window: its ids of a, then its ids of b, moved up so that no two windows look alike.
         whole = np.empty(len(a) + len(b), "<u4")
-        whole[np.arange(len(a)) + np.repeat(cuts_b[:-1], np.diff(cuts_a))] = a
-        whole[np.arange(len(b)) + np.repeat(cuts_a[1:], np.diff(cuts_b))] = b + np.uint32(self.a.size)
+        whole[np.arange(len(a)) + np.repeat(cuts_b[:-1], n_a)] = a
+        whole[np.arange(len(b)) + np.repeat(cuts_a[1:], n_b)] = b + np.uint32(self.a.size)
         ids, cuts = whole.tobytes(), (4 * (cuts_a + cuts_b)).tolist()
         keys = [ids[start:stop] for start, stop in pairwise(cuts)]
         found = self.known.look_up(keys)
@@ -264,25 +208,81 @@ class Aligner:
                     first.setdefault(keys[k], k)
             chosen = np.zeros(len(keys), bool)
             chosen[list(first.values())] = True
-            new = [keys[k] for k in np.flatnonzero(chosen).tolist()]
-            n_a, n_b = np.diff(cuts_a), np.diff(cuts_b)
-            aligned = self._align(a[np.repeat(chosen, n_a)], b[np.repeat(chosen, n_b)], n_a[chosen], n_b[chosen])
-            if aligned is None:
-                return none
-            fresh = dict(zip(new, aligned))
+            new = self._align(a[np.repeat(chosen, n_a)], b[np.repeat(chosen, n_b)], n_a[chosen], n_b[chosen])
+            fresh = dict(zip(first, new))
             found = [fresh[key] if window is None else window for key, window in zip(keys, found)]
-            self.known.add(new, aligned, sum(ENTRY_BYTES + 4 * len(key) for key in new))
-        covered, groups, _ = zip(*found)
-        if b"".join(covered) != b" " + text.encode():
-            return none
+            self.known.add(list(fresh), new, sum(ENTRY_BYTES + 4 * len(key) for key in fresh))
+        return found
+
+    def _align(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> list[tuple]:
+        """Alignments of new windows, given in a row with their numbers of tokens on each side."""
+        # Both sides of a window are equally long, so ends of all windows in a row are comparable.
+        ends_a, ends_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
+        ends = np.concatenate([ends_a, ends_b])
+        ends.sort(kind="stable")
+        ends = ends[np.append(True, ends[1:] != ends[:-1])]
+        at_a, at_b = np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+        links = (a[at_a].astype(np.int64) * self.b.size + b[at_b]).astype(self.pairs_type)
+        shared = (ends_a[at_a] == ends) & (ends_b[at_b] == ends)
+        # Tokens in the order in which groups show them: one side of a group, then the other.
+        last_a, last_b = at_a[shared], at_b[shared]
+        shown = np.empty(len(a) + len(b), np.int64)
+        place_a = np.arange(len(a)) + np.repeat(np.append(0, last_b[:-1] + 1), np.diff(last_a, prepend=-1))
+        place_b = np.arange(len(b)) + np.repeat(last_a + 1, np.diff(last_b, prepend=-1))
+        shown[place_a], shown[place_b] = a, b
+        shown[place_a[last_a]] += self.most
+        shown[place_b[last_b]] += 2 * self.most
+        signs = list(map(self.shown.__getitem__, shown.tolist()))
+        packed, width = links.tobytes(), links.itemsize
+        stops = np.searchsorted(ends, ends_a[np.cumsum(n_a) - 1]) + 1
+        of_tokens = pairwise([0, *np.cumsum(n_a + n_b).tolist()])
+        of_links = pairwise([0, *(stops * width).tolist()])
+        return [
+            (x, y, "".join(signs[i:j]), packed[start:stop])
+            for x, y, (i, j), (start, stop) in zip(n_a.tolist(), n_b.tolist(), of_tokens, of_links)
+        ]
+
+    # --- windows that are words -----------------------------------------------------
+
+    def _of_words(self, words: list[str]) -> list[tuple] | None:
+        """Alignments of a text of usual signs and single spaces: its words are its windows.
+
+        No token of either side reaches over the left side of such a space, so words
+        have their tokens alone as in the text, and a known word has a known window.
+        """
+        found = self.words.look_up(words)
+        if None not in found:
+            return found
+        new = list({word for word, window in zip(words, found) if window is None})
+        a = np.array(self.a.fast.encode_ordinary(" " + " ".join(new)), "<u4")
+        pieces = self.b.model.encode(new, num_threads=1)
+        b = np.fromiter(chain.from_iterable(pieces), "<u4")
+        plain, starts = (" " + " ".join(new)).encode(), np.flatnonzero(self.spaced[a])
+        if len(starts) != len(new) or not (self._spells(self.a, a, plain) and self._spells(self.b, b, plain)):
+            return None
+        cuts_b = np.append(0, np.cumsum(list(map(len, pieces))))
+        aligned = dict(zip(new, self._of_windows(a, b, np.append(starts, len(a)), cuts_b)))
+        self.words.add(new, list(aligned.values()), WORD_BYTES * len(new))
+        return [aligned[word] if window is None else window for word, window in zip(words, found)]
+
+    def __call__(self, text: str) -> tuple[int, int, str, np.ndarray, np.ndarray]:
+        """Numbers of tokens, the groups, the different pairs and how often each is linked."""
+        found = None
+        if text and self.b.by_word and _is_plain(text):
+            found = self._of_words(text.split(" "))
+        if text and found is None:
+            found = self._of_tokens(text)
+        if not found:
+            return 0, 0, "", np.zeros(0, self.pairs_type), np.zeros(0, np.int32)
+        n_a, n_b, groups, _ = zip(*found)
         # Equal windows are one object, so each is taken once, with its number.
         times = Counter(map(id, found))
-        windows = {id(window): window[2] for window in found}
+        windows = {id(window): window[3] for window in found}
         linked = np.frombuffer(b"".join(windows.values()), self.pairs_type)
         sizes = np.fromiter(map(len, windows.values()), np.int64, len(windows)) // linked.itemsize
         codes, at = np.unique(linked, return_inverse=True)
         times = np.bincount(at, np.repeat([times[k] for k in windows], sizes))
-        return len(a), len(b), "".join(groups)[:-1], codes, times.astype(np.int32)
+        return sum(n_a), sum(n_b), "".join(groups)[:-1], codes, times.astype(np.int32)
 
 
 @functools.cache
