@@ -47,7 +47,7 @@ from wearline.llm.common import text_of
 from wearline.workspace import settle
 
 SPACE = "▁"
-MEMO_BYTES = 90_000_000
+MEMO_BYTES = 50_000_000
 WORD_BYTES = 200  # of a remembered word
 SENT_PAIRS = 1_000_000
 ENTRY_BYTES = 350  # of a remembered window besides its ids, groups and links
