@@ -2,8 +2,9 @@
 
 ``BENCH_SF_DIR`` names the data folder, ``BENCH_CPUS`` the local cores and
 ``BENCH_QUERIES`` (optional, comma-separated) the queries. The tables that
-queries share are built first and timed as ``build_layers`` (Bronze, Silver)
-and ``build_study`` (features, split, scalers); every query then runs whole, to
+queries share are built first and timed as ``build_layers`` (Bronze, Silver),
+``write_raw`` (the text files of the scans) and ``build_study`` (features, split,
+scalers); every query then runs whole, to
 a sink that takes all its rows. Each query runs ``BENCH_RUNS`` times and the
 fastest run counts, so that compilation of the first one does not.
 """
@@ -52,6 +53,7 @@ def main() -> None:
     queries = registered.all_queries()
 
     seconds = {"build_layers": timed(lambda: registered.tables(spark, sf_dir))}
+    seconds["write_raw"] = timed(lambda: registered.raw_files(spark, sf_dir))
     study = registered.study(spark, sf_dir)
     seconds["build_study"] = timed(lambda: (study.cuts, study.feature_rows, study.fallback))
     for name in names:

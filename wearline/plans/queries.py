@@ -39,6 +39,7 @@ WRITTEN = ("engine_health", "ml_features", "sensor_drift", "anomaly_scores")
 QUICK = {"availableNow": True}
 
 _studies: dict[tuple, Study] = {}
+_derived: dict[tuple[str, str], str] = {}
 
 
 def tables(spark: SparkSession, sf_dir: str) -> Medallion:
@@ -79,21 +80,30 @@ def _tokens() -> list:
     return [F.coalesce(F.col(c).cast("string"), F.lit("NA")) for c in READING]
 
 
-def _raw_files(spark: SparkSession, sf_dir: str) -> str:
-    return _write_text(tables(spark, sf_dir).bronze, F.concat_ws(" ", *_tokens()))
+def _once(t: Medallion, kind: str, write: Callable[[], str]) -> str:
+    """A folder derived from an input's layers, written by the first query that asks for it."""
+    key = (t.root, kind)
+    if key not in _derived:
+        _derived[key] = write()
+    return _derived[key]
+
+
+def raw_files(spark: SparkSession, sf_dir: str) -> str:
+    t = tables(spark, sf_dir)
+    return _once(t, "raw", lambda: _write_text(t.bronze, F.concat_ws(" ", *_tokens())))
 
 
 def scan_readings(spark, sf_dir):
-    return text.read_readings(spark, f"{_raw_files(spark, sf_dir)}/file=*")
+    return text.read_readings(spark, f"{raw_files(spark, sf_dir)}/file=*")
 
 
 def scan_glob(spark, sf_dir):
-    pattern = f"{_raw_files(spark, sf_dir)}/file=train_FD00[1-4].txt"
+    pattern = f"{raw_files(spark, sf_dir)}/file=train_FD00[1-4].txt"
     return text.read_readings(spark, pattern).select(*S.KEY, "cycle", "sensor_02")
 
 
 def dataset_from_filename(spark, sf_dir):
-    named = text.read_readings(spark, f"{_raw_files(spark, sf_dir)}/file=*")
+    named = text.read_readings(spark, f"{raw_files(spark, sf_dir)}/file=*")
     return validation.rows_by(named, "dataset_id")
 
 
@@ -106,7 +116,8 @@ def _damaged_files(spark: SparkSession, sf_dir: str) -> str:
     head = F.concat_ws(" ", F.concat(named, gap, tokens[1]), *tokens[2:20])
     whole = F.when(cycle % 101 == 0, head).otherwise(F.concat_ws(" ", head, *tokens[20:]))
     end = F.when(cycle % 7 == 0, F.lit("  ")).otherwise(F.lit(""))
-    return _write_text(tables(spark, sf_dir).bronze, F.concat(whole, end))
+    t = tables(spark, sf_dir)
+    return _once(t, "damaged", lambda: _write_text(t.bronze, F.concat(whole, end)))
 
 
 def scan_permissive(spark, sf_dir):
@@ -229,7 +240,8 @@ def _written_gold(name: str):
     """A Gold table as written with its published digits, and read back."""
 
     def query(spark, sf_dir):
-        root = tables(spark, sf_dir).write_gold(new_folder(spark, "gold"))
+        t = tables(spark, sf_dir)
+        root = _once(t, "gold", lambda: t.write_gold(new_folder(spark, "gold")))
         table = layers.read_layer(spark, f"{root}/{name}")
         # Scores are published unrounded.
         scores = [c for s in anomaly.SCORED_SENSORS for c in anomaly.score_columns(s)[1:4]]
