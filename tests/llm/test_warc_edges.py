@@ -42,3 +42,22 @@ def test_urls_with_line_ends_and_pages_without_ids(spark, folder):
         (original,) = [u for u in read if read[u]["record_type"] == "response" and bytes(read[u]["payload"]).decode() == html]
         assert all(to == original for _, kind, to in found if kind == "revisit")
         assert next(p for p, u, _ in rows if u == original) == max((p for p, *_ in found), key=lambda p: (p is not None, p or 0))
+
+
+def test_no_record_is_lost_between_read_buffers(spark, folder):
+    """Records that end in line ends, at every place of the reader's buffers: each is found by itself."""
+    pages = spark.range(40_000).selectExpr("id as page_id", "concat('http://a/', id) as url", "repeat('x\r\n', cast(id % 97 as int)) as html")
+    warc.write_archives(pages.coalesce(4), folder + "/a")
+    found = warc.with_payload(warc.read_records(spark, folder + "/a"))
+    assert found.count() == 120_000 and found.filter("not complete").isEmpty()
+    captures = warc.assemble(found).selectExpr("response is not null and size(requests) = 1 and size(metadata) = 1 as whole")
+    assert captures.groupBy("whole").count().collect() == [(True, 40_000)]
+
+
+def test_version_lines_in_urls_and_payloads(spark, folder):
+    rows = [(1, "http://x/WARC/1.1", "WARC/1.1"), (2, "WARC/1.1", "a WARC/1.1\r\nb WARC/1.1\r\n"), (3, "http://x/WARC%2F1.1", "WARC/1.1\n")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    warc.write_archives(pages, folder + "/a")
+    captures = warc.assemble(warc.with_payload(warc.read_records(spark, folder + "/a"))).collect()
+    read = {c["response"]["target_uri"]: bytes(c["response"]["payload"]).decode() for c in captures}
+    assert read == {url: html for _, url, html in rows}

@@ -7,11 +7,11 @@ assembly joins records along these identifiers into one nested row per capture.
 
 Archives are gzip files written by Spark's text writer: every task writes a
 whole file or none, to any store that Spark writes. A record ends with two line
-ends, so that is the writer's line separator. The reader splits at the same
-place before ``WARC/1.1``, which keeps memory to one record whatever the size of
-a file. No payload may hold that separator, alone or with the line ends around
+ends, so that is the writer's line separator. The reader splits at the version line
+``WARC/1.1`` that begins a record, which keeps memory to one record whatever the
+size of a file. No payload may hold that line, alone or with the line end behind
 it: one that does is sent in chunked transfer coding with a chunk border inside
-each occurrence, and decoded again.
+each occurrence, and decoded again; in urls its slash becomes a percent code.
 ``Content-Length`` cuts the block of a record. In archives from elsewhere a
 payload may hold the separator; the record's block is then shorter than stated
 and ``complete`` is false.
@@ -39,7 +39,9 @@ from wearline.workspace import settle
 VERSION = "WARC/1.1"
 LINE = "\r\n"
 RECORD_END = LINE * 2
-SEPARATOR = f"{RECORD_END}{VERSION}{LINE}"
+# Begins a record. No part of it repeats its start, so a reader that meets half of it at the
+# end of a buffer has nothing to go back for; with the line ends before it that would not be so.
+SEPARATOR = f"{VERSION}{LINE}"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 # The alphabets of base 32 with digits first, and of RFC 4648.
 _DIGITS, _BASE32 = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
@@ -72,27 +74,27 @@ def _chunk(data: Column) -> Column:
 
 
 def _chunked(payload: Column) -> Column:
-    """Chunked transfer coding, cut inside the version mark of every separator.
-
-    At its start and end a payload meets line ends of the record.
-    """
+    """Chunked transfer coding, cut inside every version line; at its end a payload meets a line end of the record."""
     head, tail = VERSION[:4], VERSION[4:].replace(".", "\\.")
-    parts = F.split(payload, f"(?<=(?:\\A|\\A\\r\\n|\\r\\n\\r\\n){head})(?={tail}(?:\\r\\n|\\z))")
+    parts = F.split(payload, f"(?<={head})(?={tail}(?:\\r\\n|\\z))")
     return F.concat(F.array_join(F.transform(parts, _chunk), ""), F.lit(f"0{RECORD_END}"))
 
 
 def _escaped(url: Column) -> Column:
-    """A url without line ends: they, and then ``%`` too, become percent codes."""
+    """A url without line ends and version marks: they, and then ``%`` too, become percent codes."""
     codes = F.replace(F.replace(F.replace(url, F.lit("%"), F.lit("%25")), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
+    codes = F.replace(codes, F.lit(VERSION), F.lit(VERSION.replace("/", "%2F")))
     return F.when(_needs_escape(url), codes).otherwise(url)
 
 
 def _needs_escape(url: Column) -> Column:
-    return F.contains(url, F.lit("\r")) | F.contains(url, F.lit("\n"))
+    return F.contains(url, F.lit("\r")) | F.contains(url, F.lit("\n")) | F.contains(url, F.lit(VERSION))
 
 
 def _unescaped(url: Column) -> Column:
-    return F.replace(F.replace(F.replace(url, F.lit("%0D"), F.lit("\r")), F.lit("%0A"), F.lit("\n")), F.lit("%25"), F.lit("%"))
+    for code, sign in (("%0D", "\r"), ("%0A", "\n"), ("%2F", "/"), ("%25", "%")):
+        url = F.replace(url, F.lit(code), F.lit(sign))
+    return url
 
 
 def captures(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
@@ -141,7 +143,7 @@ def records(pages: DataFrame, date: str = "2024-01-01T00:00:00Z", least_bytes: i
 
     is_revisit = F.coalesce(own != first, F.lit(False))
     response_id = identifier("capture", own)
-    has_separator = F.instr(F.concat(F.lit(RECORD_END), "payload", F.lit(RECORD_END)), SEPARATOR) > 0
+    has_separator = F.instr(F.concat("payload", F.lit(LINE)), SEPARATOR) > 0
     digest = F.concat(F.lit("sha1:"), F.col("digest"))
     kind = F.when(is_revisit, "revisit").otherwise("response")
     coding = F.when(has_separator & ~is_revisit, "chunked")
@@ -216,12 +218,8 @@ def _all_headers(name: str) -> Column:
 def read_records(spark: SparkSession, folder: str) -> DataFrame:
     """One row per record, with its headers and its block as bytes."""
     lines = spark.read.option("lineSep", SEPARATOR).text(folder)
-    # Only the first record of a file still has its version line.
-    version = F.lit(VERSION + LINE)
-    text = F.when(F.startswith("value", version), F.substring("value", F.length(version) + 1, F.length("value")))
-    text = text.otherwise(F.col("value"))
     split = F.instr(F.col("text"), RECORD_END)
-    parts = lines.select(text.alias("text")).filter("text <> ''").select(
+    parts = lines.select(F.col("value").alias("text")).filter("text <> ''").select(
         F.when(split > 0, F.expr("substring(text, 1, instr(text, '\r\n\r\n') - 1)")).otherwise(F.col("text")).alias("head"),
         F.when(split > 0, F.expr("substring(text, instr(text, '\r\n\r\n') + 4)")).otherwise("").alias("rest"),
     )
