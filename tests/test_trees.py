@@ -71,3 +71,20 @@ def test_one_plan_for_all_datasets(fitted):
     df, _, forests, nodes = fitted
     plan = trees.predict(df, forests, nodes, 7, 4, FEATURES)._jdf.queryExecution().executedPlan().toString()
     assert "Union" not in plan.split("InMemory")[0] and plan.count("BroadcastHashJoin") >= 5
+
+
+def test_more_nodes_than_are_sent_need_one_join_for_all_steps(fitted):
+    """Whole trees as rows: the same predictions, sent or joined, and readings move once at most for their trees."""
+    df, _, forests, nodes = fitted
+    df = df.union(df.limit(3).selectExpr("dataset_id", "engine_id", "777 cycle", "CAST(NULL AS DOUBLE) a", "b", "c", "rul"))
+
+    def found(sent):
+        return trees.predict(df, forests, nodes, 7, 4, FEATURES, sent_nodes=sent)
+
+    wanted = sorted(map(str, (tuple(r) for r in found(trees.SENT_NODES).select("*").collect())))
+    for sent in (nodes.count() - 1, 0):
+        assert sorted(map(str, (tuple(r) for r in found(sent).collect()))) == wanted
+        plan = found(sent)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Join") == 2  # with the forests' numbers, and with the trees
+    sizes = {(r["__forest"], r["tree"]): len(r["__leaf"]) for r in trees.packed_trees(nodes).collect()}
+    assert sizes == {(r["forest"], r["tree"]): r["count"] for r in nodes.groupBy("forest", "tree").count().collect()}

@@ -8,7 +8,10 @@ predicting.
 
 The table has at most ``trees * 2**(depth + 1)`` rows a forest. Up to
 ``SENT_NODES`` rows it is sent to the tasks, once for all steps, and readings do
-not move before their mean; beyond that every step is a join by node.
+not move before their mean. Beyond that a tree becomes one row of arrays, which
+take less than half the room: a reading meets each of its trees in one join and
+goes all steps inside that row. Up to ``PACKED`` times ``SENT_NODES`` nodes these
+rows are sent too; with still more nodes that one join moves the readings.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from pyspark.sql import functions as F
 from wearline import schema as S
 
 SENT_NODES = 2_000_000
+PACKED = 4  # so many times more nodes are sent as arrays: 28 bytes a node
 NODE_SCHEMA = (
     "forest int, tree int, node long, feature int, threshold double, left long, right long,"
     " prediction double, weighted_gain double"
@@ -65,9 +69,6 @@ def predict(
 
     ``forests`` gives the number of a dataset's forest (``dataset_id``, ``forest``).
     """
-    steps = nodes.select(F.col("node").alias("__at"), "feature", "threshold", "left", "right", F.col("prediction").alias("__leaf"))
-    if nodes.count() <= sent_nodes:
-        steps = F.broadcast(steps)
     shown = [*S.KEY, "cycle", F.col(label).cast("double").alias("label")]
     numbered = rows.select(
         F.monotonically_increasing_id().alias("__row"), *shown, F.array(*features).alias("__x")
@@ -75,13 +76,57 @@ def predict(
     kept = ["__row", *S.KEY, "cycle", "label"]
     tree = F.explode(F.sequence(F.lit(0), F.lit(trees - 1)))
     places = numbered.select(*kept, "__x", "forest", tree.alias("__tree"))
+    known = nodes.count()
+    if known <= sent_nodes:
+        leaves = _leaves_by_node(places, nodes, depth, kept)
+    else:
+        leaves = _leaves_by_tree(places, nodes, depth, kept, known <= PACKED * sent_nodes)
+    return leaves.groupBy(*kept).agg(F.avg("__leaf").alias("prediction")).drop("__row")
+
+
+def _leaves_by_node(places: DataFrame, nodes: DataFrame, depth: int, kept: Sequence[str]) -> DataFrame:
+    """The leaf's value for each reading and tree: every step looks up a sent node."""
+    steps = nodes.select(F.col("node").alias("__at"), "feature", "threshold", "left", "right", F.col("prediction").alias("__leaf"))
+    steps = F.broadcast(steps)
     places = places.select(*kept, "__x", _root(F.col("forest"), F.col("__tree")).alias("__node"))
     goes_left = F.get("__x", F.col("feature")) <= F.col("threshold")
     for _ in range(depth):
         found = places.join(steps, F.col("__node") == F.col("__at"))
         places = found.select(*kept, "__x", F.when(goes_left, F.col("left")).otherwise(F.col("right")).alias("__node"))
-    leaves = places.join(steps, F.col("__node") == F.col("__at"))
-    return leaves.groupBy(*kept).agg(F.avg("__leaf").alias("prediction")).drop("__row")
+    return places.join(steps, F.col("__node") == F.col("__at"))
+
+
+def packed_trees(nodes: DataFrame) -> DataFrame:
+    """One row per tree: an array per field, in the order of node numbers, which lead to places in the arrays."""
+    within = 1 << NODE_BITS
+    fields = {
+        "feature": F.col("feature"),
+        "threshold": F.col("threshold"),
+        "left": (F.col("left") % within).cast("int"),
+        "right": (F.col("right") % within).cast("int"),
+        "leaf": F.col("prediction"),
+    }
+    node = F.struct("node", *(c.alias(name) for name, c in fields.items()))
+    whole = nodes.groupBy("forest", "tree").agg(F.array_sort(F.collect_list(node)).alias("n"))
+    return whole.select(
+        F.col("forest").alias("__forest"), "tree", *(F.col(f"n.{name}").alias(f"__{name}") for name in fields)
+    )
+
+
+def _leaves_by_tree(
+    places: DataFrame, nodes: DataFrame, depth: int, kept: Sequence[str], sent: bool
+) -> DataFrame:
+    """The leaf's value for each reading and tree: one join, and all steps inside the tree's row."""
+    whole = packed_trees(nodes)
+    whole = F.broadcast(whole) if sent else whole
+    found = places.join(whole, (F.col("forest") == F.col("__forest")) & (F.col("__tree") == F.col("tree")))
+    arrays = ("__feature", "__threshold", "__left", "__right", "__leaf")
+    found = found.select(*kept, "__x", *arrays, F.lit(0).alias("__at"))
+    at = F.col("__at")
+    goes_left = F.get("__x", F.get("__feature", at)) <= F.get("__threshold", at)
+    for _ in range(depth):
+        found = found.withColumn("__at", F.when(goes_left, F.get("__left", at)).otherwise(F.get("__right", at)))
+    return found.select(*kept, F.get("__leaf", at).alias("__leaf"))
 
 
 def importance(forests: DataFrame, nodes: DataFrame, features: Sequence[str] = S.FEATURES) -> DataFrame:
