@@ -8,7 +8,7 @@ import pytest
 from wearline import schema as S
 from wearline.operators.validation import validate
 from wearline.sources import layers
-from wearline.streaming import ingest
+from wearline.streaming import ingest, stateful
 
 QUICK = {"availableNow": True}
 
@@ -166,3 +166,15 @@ def test_polling_trigger_runs_until_stopped(feed):
     assert query.isActive
     query.stop()
     assert feed.cycles() == [1]
+
+
+def test_filters_do_not_parse_a_line_again(spark, folder):
+    """Status and key filters ask for many fields; each line is parsed by one expression all the same."""
+    spark.createDataFrame([('{"engine_id": 1, "cycle": 2}',)], "value string").write.mode("append").text(folder)
+    feed = ingest.good_lines(ingest.read_stream(spark, folder))
+    for wanted in (feed.filter("engine_id IS NOT NULL AND cycle > 1"), stateful.silver_status(feed).filter("status = 'valid'")):
+        query = wanted.writeStream.format("noop").option("checkpointLocation", f"{folder}-{id(wanted)}")
+        query = query.trigger(availableNow=True).start()
+        query.awaitTermination()
+        plan = query._jsq.explainInternal(False)
+        assert plan.count("from_json(") == 1

@@ -47,6 +47,14 @@ def _misfits() -> Column:
     return reduce(add, lost)
 
 
+def _parsed_once(line: Column) -> Column:
+    """A parsed line as the output of a generator, which later filters cannot be moved through.
+
+    Moved below the parsing, a filter would parse the text again for every field that it asks for.
+    """
+    return F.explode(F.array(line)).alias("line")
+
+
 def read_stream(
     spark: SparkSession, landing: str, max_files_per_trigger: int | None = None
 ) -> DataFrame:
@@ -65,7 +73,7 @@ def read_stream(
     parsed = (
         reader.text(landing)
         .filter(F.trim("value") != "")
-        .select(F.from_json("value", T.StructType([*as_text.fields, CORRUPT_FIELD]), options).alias("line"), "value")
+        .select(_parsed_once(F.from_json("value", T.StructType([*as_text.fields, CORRUPT_FIELD]), options)), "value")
     )
     broken = F.col("line").isNull() | F.col(f"line.{CORRUPT}").isNotNull()
     typed = parsed.select(
