@@ -331,6 +331,23 @@ def test_encoder_equals_the_library(documents):
         assert own(text).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_encoder_works_out_a_word_once():
+    """Texts of known words ask for no pre-token again; rare blanks, signs and marks still give the library's ids."""
+    from tokenizers import Tokenizer
+
+    path = vocabulary_file("word_bpe_49k.json")
+    library, own = Tokenizer.from_file(path), bitpack.Encoder(path)
+    odd = [f"one{blank}two, it's" for blank in "\x0b\x0c\x1c\x1f\x85\xa0\u1680\u2028\u3000"]
+    odd += ["", " ", ",", ".,", "...,a.", "a,.", "It's. 'S 's, don't", "Élan, ªº \r\n e\u0301.", "a1, 1a.", "<|x ab<|endoftext|>", "ŉ, ǅ."]
+    for text in odd + odd:
+        assert own(text).tolist() == library.encode(text, add_special_tokens=False).ids
+    first, asked = own("Some words, that it's full of.\nAgain").tolist(), []
+    whole = own.split
+    own.split = lambda text: asked.append(text) or whole(text)
+    again = own("Again full of. it's words, that").tolist()
+    assert first and again and not asked
+
+
 def test_packed_ids(spark):
     rows = queries.op6_bit_packing(spark, SMALL).orderBy("doc_id").collect()
     own = bitpack.Encoder(vocabulary_file("word_bpe_49k.json"))

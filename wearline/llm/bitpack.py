@@ -29,7 +29,7 @@ import functools
 import re
 import struct
 import unicodedata
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -124,28 +124,33 @@ def _byte_letters() -> dict[int, str]:
     return letters | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
-class _Words(dict):
-    """Ids of pre-tokens as bytes, each encoded once by the library's model."""
+class _Remembered(dict):
+    """Ids, as bytes, of parts of texts, each worked out once; forgotten when there are too many."""
 
-    def __init__(self, model, most: int):
+    def __init__(self, find: Callable[[str], bytes], most: int):
         super().__init__()
-        self.model, self.most, self.letters = model, most, _byte_letters()
+        self.find, self.most = find, most
 
-    def __missing__(self, word: str) -> bytes:
+    def __missing__(self, part: str) -> bytes:
+        ids = self.find(part)
         if len(self) >= self.most:
             self.clear()
-        shown = word if word.isascii() else "".join(map(self.letters.get, word.encode()))
-        ids = np.array([t.id for t in self.model.tokenize(shown)], "<u4").tobytes()
-        self[word] = ids
+        self[part] = ids
         return ids
 
 
+class _Unusual(Exception):
+    """A word that is left to the library, with its whole text."""
+
+
 class Encoder:
-    """Encodes texts as the library does, each different pre-token once.
+    """Encodes texts as the library does, each different word and pre-token once.
 
-    Long texts repeat their words, so normalisation and splitting run here over
-    common Latin text and only unseen pre-tokens reach the library's model. Any
-    other text is encoded by the library as it is. ``tests/llm`` compares both.
+    Texts repeat their words, and no pre-token holds white space. So a text is
+    cut at its blanks and line ends; only unseen words are normalised and split
+    here, and only unseen pre-tokens reach the library's model. A text with a
+    word of anything but common Latin signs is encoded by the library as it is.
+    ``tests/llm`` compares both.
     """
 
     def __init__(self, path: str, remembered: int = 500_000):
@@ -153,17 +158,37 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words = _Words(self.tokenizer.model, remembered)
+        self.letters = _byte_letters()
         self.split = regex.compile(_TOKENS).findall
+        self.tokens = _Remembered(self._token, remembered)
+        self.words = _Remembered(self._word, remembered)
+
+    def _token(self, token: str) -> bytes:
+        shown = token if token.isascii() else "".join(map(self.letters.get, token.encode()))
+        ids = [t.id for t in self.tokenizer.model.tokenize(shown)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _word(self, word: str) -> bytes:
+        if not word.isascii() or not word.isalpha():
+            if _UNUSUAL.search(word):
+                raise _Unusual
+            word = unicodedata.normalize("NFC", word)
+        word = word.lower()
+        if word.isalpha():  # one pre-token
+            return self.tokens[word]
+        if word[:-1].isalpha() and word[-1] in ".,":  # two
+            return self.tokens[word[:-1]] + self.tokens[word[-1]]
+        found = self.split(word)
+        return b"".join(map(self.tokens.__getitem__, found))
 
     def __call__(self, text: str) -> np.ndarray:
-        if _UNUSUAL.search(text):
+        # Blanks by hand: ``split()`` would also cut at rare ones, whose texts are the library's.
+        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        try:
+            return np.frombuffer(b"".join(map(self.words.__getitem__, words)), "<u4")
+        except _Unusual:
             ids = self.tokenizer.encode(text, add_special_tokens=False).ids
             return np.array(ids, np.uint32)
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text)
-        found = map(self.words.__getitem__, self.split(text.lower()))
-        return np.frombuffer(b"".join(found), "<u4")
 
 
 @functools.cache
