@@ -239,6 +239,16 @@ def test_forest_equals_brute_force(spark, documents, limits):
     assert [found[k]["n_links"] for k in range(len(texts))] == [len(x) for x in links]
 
 
+def test_texts_of_clusters_move_the_same_way_at_any_size(spark):
+    """Few clustered texts are joined by exchange too, and each text comes once."""
+    docs = spark.createDataFrame([(1, "a b"), (2, "a b"), (3, None), (4, "c")], "doc_id long, text string")
+    copies = docs.filter("doc_id < 4").selectExpr("xxhash64(coalesce(text, '')) AS copy")
+    found = lsh_forest._texts_of(docs, copies)
+    assert sorted(r["text"] for r in found.collect()) == ["", "a b"]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_prefix_is_shortened_to_the_target():
     length = lsh_forest.prefix_length(0.8, 20, 8, 0.999)
     assert lsh_forest.recall(length, 20, 0.8) >= 0.999 > lsh_forest.recall(length + 1, 20, 0.8)

@@ -147,6 +147,18 @@ def _signed(
     return rows.mapInPandas(sign, "doc_id long, copy long, chars int, name long, keys array<long>")
 
 
+def _texts_of(docs: DataFrame, placed: DataFrame) -> DataFrame:
+    """``copy`` and ``text`` of the texts that are in clusters, each once.
+
+    Texts move once, by their name, at any size of the input: sending the names
+    to the tasks instead would serve small inputs only.
+    """
+    text = text_of()
+    wanted = placed.select("copy").distinct().hint("merge")
+    rows = docs.select(F.xxhash64(text).alias("copy"), text.alias("text"))
+    return rows.join(wanted, "copy", "left_semi").dropDuplicates(["copy"])
+
+
 def _verify(words: int, threshold: float):
     """Links of one pair of blocks, from shared shingles counted as matrix products."""
 
@@ -227,9 +239,7 @@ def classes(
     placed = placed.join(sizes, "cluster").withColumn("block", F.pmod(F.hash("name"), F.col("blocks")))
     placed = settle(placed.select("name", "copy", "cluster", "blocks", "block"), "placed-texts")
 
-    text = text_of()
-    found = docs.select(F.xxhash64(text).alias("copy"), text.alias("text"))
-    found = found.join(placed.select("copy").distinct(), "copy", "left_semi").dropDuplicates(["copy"])
+    found = _texts_of(docs, placed)
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     met = (
         found.join(placed, "copy")
