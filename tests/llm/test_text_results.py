@@ -358,6 +358,21 @@ def test_encoder_works_out_a_word_once():
     assert first and again and not asked
 
 
+def test_encoder_keeps_common_words():
+    """However many other words pass, a word of every text is worked out once and no more than the bound stays."""
+    from tokenizers import Tokenizer
+
+    path = vocabulary_file("word_bpe_49k.json")
+    library, own = Tokenizer.from_file(path), bitpack.Encoder(path, remembered=60)
+    find, asked = own.words.find, []
+    own.words.find = lambda part: asked.append(part) or find(part)
+    for k in range(100):
+        text = f"the {'abcdefghij'[k % 10] * (k // 10 + 3)}, Word{k} \u023a"[: None if k % 7 else -2]
+        assert own(text).tolist() == library.encode(text, add_special_tokens=False).ids
+        assert len(own.words) + len(own.words.older) <= 60
+    assert asked.count("the") == 1 and len(asked) > 100
+
+
 def test_packed_ids(spark):
     rows = queries.op6_bit_packing(spark, SMALL).orderBy("doc_id").collect()
     own = bitpack.Encoder(vocabulary_file("word_bpe_49k.json"))

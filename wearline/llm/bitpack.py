@@ -125,15 +125,20 @@ def _byte_letters() -> dict[int, str]:
 
 
 class _Remembered(dict):
-    """Ids, as bytes, of parts of texts, each worked out once; forgotten when there are too many."""
+    """Ids, as bytes, of parts of texts, each worked out once; of too many, those asked for lately stay."""
 
     def __init__(self, find: Callable[[str], bytes], most: int):
         super().__init__()
-        self.find, self.most = find, most
+        self.find, self.half = find, most // 2
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, part: str) -> bytes:
-        ids = self.find(part)
-        if len(self) >= self.most:
+        ids = self.older.get(part)
+        if ids is None:
+            ids = self.find(part)
+        if len(self) >= self.half:
+            self.older.clear()
+            self.older = dict(self)
             self.clear()
         self[part] = ids
         return ids
@@ -148,19 +153,19 @@ class Encoder:
 
     Texts repeat their words, and no pre-token holds white space. So a text is
     cut at its blanks and line ends; only unseen words are normalised and split
-    here, and only unseen pre-tokens reach the library's model. A text with a
+    here, and only unseen pre-tokens reach the library's model. A pre-token is a
+    word of its own, so one store, with a bound, holds both. A text with a
     word of anything but common Latin signs is encoded by the library as it is.
     ``tests/llm`` compares both.
     """
 
-    def __init__(self, path: str, remembered: int = 500_000):
+    def __init__(self, path: str, remembered: int = 600_000):
         import regex
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.letters = _byte_letters()
         self.split = regex.compile(_TOKENS).findall
-        self.tokens = _Remembered(self._token, remembered)
         self.words = _Remembered(self._word, remembered)
 
     def _token(self, token: str) -> bytes:
@@ -169,17 +174,21 @@ class Encoder:
         return struct.pack(f"<{len(ids)}I", *ids)
 
     def _word(self, word: str) -> bytes:
+        plain = word
         if not word.isascii() or not word.isalpha():
             if _UNUSUAL.search(word):
                 raise _Unusual
-            word = unicodedata.normalize("NFC", word)
-        word = word.lower()
-        if word.isalpha():  # one pre-token
-            return self.tokens[word]
-        if word[:-1].isalpha() and word[-1] in ".,":  # two
-            return self.tokens[word[:-1]] + self.tokens[word[-1]]
-        found = self.split(word)
-        return b"".join(map(self.tokens.__getitem__, found))
+            plain = unicodedata.normalize("NFC", word)
+        plain = plain.lower()
+        if plain.isalpha():
+            found = [plain]
+        elif plain[:-1].isalpha() and plain[-1] in ".,":
+            found = [plain[:-1], plain[-1]]
+        else:
+            found = self.split(plain)
+        if found == [word]:  # a pre-token
+            return self._token(word)
+        return b"".join(map(self.words.__getitem__, found))
 
     def __call__(self, text: str) -> np.ndarray:
         # Blanks by hand: ``split()`` would also cut at rare ones, whose texts are the library's.
