@@ -384,6 +384,19 @@ def test_packed_ids(spark):
         start += len(ids)
 
 
+def test_pieces_keep_common_words():
+    """However many other words pass, a word of every text is segmented once and no more than the bound stays."""
+    path = vocabulary_file("piece_bpe_32k.model")
+    own, whole = pieces.Pieces(path, remembered=60), pieces.Pieces(path)
+    segment, asked = own.segment, []
+    own.segment = lambda words: asked.extend(words) or segment(words)
+    for k in range(100):
+        text = f"the {'abcdefghij'[k % 10] * (k // 10 + 3)}, word{k}"
+        assert own.encode([text])[0].tolist() == whole.encode([text])[0].tolist()
+        assert len(own.words) + len(own.older) <= 60
+    assert asked.count("▁the") == 1 and len(asked) > 100
+
+
 def test_viterbi_is_optimal(documents):
     from sentencepiece import sentencepiece_model_pb2 as proto
 

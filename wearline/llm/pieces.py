@@ -43,6 +43,8 @@ SPACE = "▁"
 NORMAL, UNKNOWN, BYTE = 1, 2, 6
 UNKNOWN_PENALTY = 10.0
 CELLS = 2_000_000  # substring scores held at once
+REMEMBERED = 400_000  # words whose ids are kept for later texts
+RUN_CHARS = 2_000_000  # of texts encoded together
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 # A control character that is no piece stands alone, which bounds words in text without spaces.
 _WORDS = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n").findall
@@ -66,7 +68,7 @@ def _points(words: Sequence[str]) -> np.ndarray:
 class Pieces:
     """Pieces of one model, sorted for probing by length."""
 
-    def __init__(self, path: str, remembered: int = 400_000):
+    def __init__(self, path: str, remembered: int = REMEMBERED):
         from sentencepiece import sentencepiece_model_pb2 as proto
 
         model = proto.ModelProto()
@@ -110,6 +112,7 @@ class Pieces:
                 self.tables[length] = keys[order], ids, np.array([s for _, _, s in found])[order]
         self.longest = max(self.tables, default=1)
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     # --- encoding -----------------------------------------------------------
 
@@ -181,13 +184,15 @@ class Pieces:
         return _WORDS((self.prefix + text).replace(" ", SPACE)) if text else []
 
     def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
-        """Piece ids of texts; every different word is segmented once."""
+        """Piece ids of texts; every different word is segmented once, and again if long not met."""
         cut = [self.split(t) for t in texts]
-        new = {w for words in cut for w in words}.difference(self.words)
-        if len(self.words) + len(new) > self.remembered:
-            self.words.clear()
-            new = {w for words in cut for w in words}
-        fresh = list(new)
+        wanted = {w for words in cut for w in words}
+        new = wanted.difference(self.words)
+        if len(self.words) + len(new) > self.remembered // 2:
+            self.older, self.words = self.words, {}
+            new = wanted
+        self.words.update((w, self.older[w]) for w in new if w in self.older)
+        fresh = [w for w in new if w not in self.words]
         for word, ids in zip(fresh, self.segment(fresh)):
             self.words[word] = np.array(ids, "<u4").tobytes()
         get = self.words.__getitem__
@@ -201,18 +206,23 @@ class Pieces:
 
 
 @functools.cache
-def pieces_of(path: str) -> Pieces:
-    return Pieces(path)
+def pieces_of(path: str, remembered: int = REMEMBERED) -> Pieces:
+    return Pieces(path, remembered)
 
 
-def encode_column(path: str, column: str = "text") -> Column:
-    """Piece ids of a text column, as an array of integers."""
+def encode_column(
+    path: str, column: str = "text", remembered: int = REMEMBERED // 2, chars: int = RUN_CHARS // 4
+) -> Column:
+    """Piece ids of a text column, as an array of integers.
+
+    It remembers less than ``round_trip``: in a pipeline its tasks share the memory with earlier stages.
+    """
 
     @F.pandas_udf("array<int>")
     def encoded(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        model = pieces_of(path)
+        model = pieces_of(path, remembered)
         for texts in batches:
-            yield pd.Series([a.astype(np.int32) for a in _in_parts(model, texts)], dtype=object)
+            yield pd.Series([a.view(np.int32) for a in _in_parts(model, texts, chars)], dtype=object)
 
     return encoded(text_of(column))
 
@@ -229,7 +239,7 @@ def decode_column(path: str, column: str = "piece_ids") -> Column:
     return decoded(F.col(column))
 
 
-def _in_parts(model: Pieces, texts: pd.Series, chars: int = 2_000_000) -> Iterator[np.ndarray]:
+def _in_parts(model: Pieces, texts: pd.Series, chars: int = RUN_CHARS) -> Iterator[np.ndarray]:
     """Encode a batch in runs of about ``chars`` characters, so that words held at once stay few."""
     run: list[str] = []
     size = 0
