@@ -242,7 +242,8 @@ class Pieces:
         else:
             cut = pc.split_pattern(pa.array([marked(t) if t else "" for t in texts], pa.large_string()), mark)
         words = cut.flatten().dictionary_encode()
-        return words.dictionary.to_pylist(), words.indices.to_numpy(), np.asarray(cut.offsets)
+        different = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        return different, words.indices.to_numpy(), np.asarray(cut.offsets)
 
     def encode(self, texts: Sequence[str]) -> list[np.ndarray]:
         """Piece ids of texts; every different word is segmented once, and again if long not met."""
