@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 
 from wearline import schema as S
 
-SENT_NODES = 2_000_000
-PACKED = 4  # so many times more nodes are sent as arrays: 28 bytes a node
+SENT_NODES = 250_000  # a sent node takes about 100 bytes, in the driver too
+PACKED = 16  # so many times more nodes are sent as arrays: 28 bytes a node
 NODE_SCHEMA = (
     "forest int, tree int, node long, feature int, threshold double, left long, right long,"
     " prediction double, weighted_gain double"

@@ -16,6 +16,15 @@ from wearline.workspace import new_folder, settle
 from wearline.sources import layers
 
 
+# Rows that fits may hold at once: each takes about 1.6 KB of the executors while its forest grows.
+HELD_ROWS = 1_000_000
+
+
+def fits_at_once(rows: int, parallelism: int) -> int:
+    """How many forests to fit side by side, if the largest learns from so many rows."""
+    return max(1, min(parallelism, HELD_ROWS // max(1, rows)))
+
+
 class Study:
     """Tables and models of one input.
 
@@ -124,18 +133,20 @@ class Study:
     def nodes(self) -> DataFrame:
         """The fitted trees of all datasets as one table (see ``operators.trees``).
 
-        Each fit is distributed and a few run side by side; a fitted forest is
-        written to the shared folder and let go.
+        Each fit is distributed and a few run side by side, large ones one after
+        another; a fitted forest is written to the shared folder and let go.
         """
         spark, folder = self.tables.spark, new_folder(self.tables.spark, "forests")
-        self.scaled_table  # written before the fits share it
+        # The scaled table is written before the fits share it.
+        sizes = self.scaled_table.filter("is_train").groupBy("dataset_id").count()
+        most = sizes.agg(F.max("count")).first()[0] or 0
 
         def fit(number: int, dataset: str) -> DataFrame:
             forest = model.train_rul(self._part(dataset, True), self.features, **self.forest)
             forest.write().save(f"{folder}/{number}")
             return trees.node_table(spark.read.parquet(f"{folder}/{number}/data"), number)
 
-        with ThreadPoolExecutor(self.parallelism) as pool:
+        with ThreadPoolExecutor(fits_at_once(most, self.parallelism)) as pool:
             found = list(pool.map(fit, range(len(self.datasets)), self.datasets))
         none = spark.createDataFrame([], trees.NODE_SCHEMA)
         return settle(layers.union_datasets(none, *found), "nodes")
